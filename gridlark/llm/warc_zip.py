@@ -220,7 +220,9 @@ def write_packages(pages: DataFrame, folder: str, *, key: str = "page_id", url:
 def read_packages(packages: DataFrame) -> DataFrame:
     """Records of packages ``(path, size)``: key, url, payload_bytes, payload_digest, record_type, refers_to, payload (null for revisits)."""
     ranges = packages.mapInArrow(_ranges, "path string, at long, lengths array<long>")
-    dealt = ranges.repartition(F.xxhash64("path", "at"))
+    # A row stands for up to RANGE_BYTES to be read, so the number of tasks follows the packages' bytes, not the rows' own size.
+    total = packages.agg(F.sum("size")).first()[0] or 0
+    dealt = ranges.repartition(max(1, -(-total // RANGE_BYTES)), "path", "at")
     return dealt.mapInArrow(_read, "key long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload string")
 
 
