@@ -108,7 +108,8 @@ def fingerprint_pairs(docs: DataFrame) -> DataFrame:
     ``STRIDE``) takes the first of the next range that isn't empty. Both read the same shuffle of texts.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text")).where("doc_id is not null")
-    rows = rows.withColumn("bucket", F.floor(F.col("doc_id") / STRIDE))
+    # The filter that the join of the ranges would add is written out, so that all branches read one and the same shuffle.
+    rows = rows.withColumn("bucket", F.shiftright("doc_id", STRIDE.bit_length() - 1)).where("bucket is not null")
     w = Window.partitionBy("bucket").orderBy("doc_id", "text")
     seen = rows.withColumn("after", F.lead("text").over(w)).withColumn("first", F.row_number().over(w) == 1)
 
