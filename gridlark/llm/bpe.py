@@ -5,9 +5,11 @@ stand. Chunks are cached in a task (bounded by bytes, oldest first out): a chunk
 a token, so joins are repaired: the text between the nearest word edges on either side is encoded anew, the window grown word by
 word, until encoding the grown window equals the tokens of its three parts; that window's tokens go between the cores' tokens.
 
-A word edge is a place where a white-space character follows another character: the pre-tokenizer of byte-level BPE begins a token
-there whatever stands before, so encoding is separable at it, and special tokens, which hold no white space, never span it. Agreement is
-still tested for each join rather than assumed; growth ends at the texts' ends, where the encoding is the whole text's.
+A word edge is a place where a blank, tab or line end follows a character that is no white space: the pre-tokenizer of byte-level BPE
+begins a token there whatever stands before, so encoding is separable at it, and special tokens, which hold no white space, never span it.
+Agreement is still tested for each join rather than assumed; growth ends at the text's ends. For the same reason a chunk that
+isn't in the cache is put together from its words, whose tokens are cached too (bounded, emptied when full); the library encodes each new
+word. Texts with other white space (no-break spaces, vertical tabs and the like) go to the library whole.
 
 Chunks are shared within a task, not between tasks: a join of all chunks over the cluster would move the whole corpus twice, and the
 tokens besides. Encoding is a map, with no shuffle.
@@ -32,14 +34,17 @@ from pyspark.sql import functions as F
 
 from .common import slices, texts
 
-CHUNK_BITS = 10  # a cut every 2**10 bytes on average
+CHUNK_BITS = 11  # a cut every 2**11 bytes on average
 CACHE_CHARS = 16 << 20
-SHORT = 1500  # texts below this many characters are one chunk
+WORDS = 300_000  # words in the cache
+SHORT = 3000  # texts below this many characters are one chunk
 _GEAR = np.random.default_rng(11).integers(0, 2**32, 256, dtype=np.uint32)
 _WINDOW = 16
-#: White space of both Unicode and the pre-tokenizer, whose code points need no look-up.
-_EDGE = re.compile(r"(?<=[^\s\x1c-\x1f\x85])(?=[ \n\t\r])")
-
+_EDGE = re.compile(r"(?<=[^ \n\t\r])(?=[ \n\t\r])")
+_WORD = re.compile(r"[ \n\t\r]*[^ \n\t\r]+|[ \n\t\r]+")
+_SPACE = " \n\t\r"
+#: White space besides blank, tab and line ends.
+_OTHER_SPACE = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in _SPACE]
 
 def cuts(data: np.ndarray) -> np.ndarray:
     """Places of content-defined cuts in bytes: a windowed gear hash with clear low bits."""
@@ -50,6 +55,26 @@ def cuts(data: np.ndarray) -> np.ndarray:
     return np.flatnonzero((h & np.uint32((1 << CHUNK_BITS) - 1)) == 0) + 1
 
 
+def edge_before(text: str, at: int) -> int:
+    """The last word edge before a place, or the text's start."""
+    width = 64
+    while at > 0:
+        lo = max(0, at - width)
+        found = [m.start() for m in _EDGE.finditer(text, lo, at)]
+        if found:
+            return found[-1]
+        if lo == 0:
+            return 0
+        width *= 4
+    return 0
+
+
+def edge_after(text: str, at: int) -> int:
+    """The first word edge behind a place, or the text's end."""
+    m = _EDGE.search(text, at + 1)
+    return m.start() if m else len(text)
+
+
 class Codec:
     """Encoder and decoder of one tokenizer file, with a cache of chunks."""
 
@@ -60,7 +85,8 @@ class Codec:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.cache: OrderedDict[str, tuple[np.ndarray, bytes]] = OrderedDict()
+        self.cache: OrderedDict[str, bytes] = OrderedDict()
+        self.words: dict[str, bytes] = {}
         self.cache_chars, self.held, self.hits = cache_chars, 0, 0
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
@@ -68,17 +94,50 @@ class Codec:
         added = {x["id"]: x["content"].encode() for x in spec["added_tokens"]}
         pieces = {i: bytes(back[c] for c in t) for t, i in spec["model"]["vocab"].items()} | added
         self.pieces = [pieces.get(i, b"") for i in range(max(pieces) + 1)]
+        self.lengths = np.array([len(x) for x in self.pieces])
+
+    def library(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def each(self, words: list[str]) -> list[bytes]:
+        """The ids of each word. Those that begin and don't end with white space are encoded in one piece, and cut by their tokens' bytes."""
+        joined = [w for w in words if w[0] in _SPACE and w[-1] not in _SPACE]
+        alone = [w for w in words if not (w[0] in _SPACE and w[-1] not in _SPACE)]
+        out = dict(zip(alone, self.library(alone), strict=True)) if alone else {}
+        if joined:
+            ids = self.library(["".join(joined)])[0]
+            upto = np.concatenate([[0], np.cumsum(self.lengths[np.frombuffer(ids, "<u4")])])
+            ends = np.cumsum([len(w.encode()) for w in joined])
+            at = np.searchsorted(upto, ends)
+            if not np.array_equal(upto[at], ends):
+                raise ValueError("a token spans two words")
+            at = (at * 4).tolist()
+            out.update(zip(joined, (ids[a:b] for a, b in zip([0, *at], at, strict=False)), strict=True))
+        return [out[w] for w in words]
+
+    def raw(self, text: str) -> bytes:
+        """The ids of a text without other white space, as little-endian bytes, put together from its words."""
+        words, known = _WORD.findall(text), self.words
+        try:
+            return b"".join([known[w] for w in words])
+        except KeyError:
+            new = list({w for w in words if w not in known})
+        if len(known) + len(new) > WORDS:
+            known.clear()
+            new = list(set(words))
+        known.update(zip(new, self.each(new), strict=True))
+        out = b"".join([known[w] for w in words])
+        if len(known) > WORDS:
+            known.clear()
+        return out
 
-    def ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
-
-    def chunk(self, text: str) -> np.ndarray:
+    def chunk(self, text: str) -> bytes:
         found = self.cache.get(text)
         if found is not None:
             self.hits += 1
             self.cache.move_to_end(text)
             return found
-        out = self.ids(text)
+        out = self.raw(text)
         self.cache[text] = out
         self.held += len(text)
         while self.held > self.cache_chars:
@@ -86,49 +145,41 @@ class Codec:
         return out
 
     def encode(self, text: str) -> np.ndarray:
+        return np.frombuffer(self._encode(text), "<u4")
+
+    def _encode(self, text: str) -> bytes:
         if not text:
-            return np.empty(0, np.uint32)
+            return b""
+        if any(c in text for c in _OTHER_SPACE):
+            return self.library([text])[0]
         if len(text) < SHORT:
             return self.chunk(text)
         data = np.frombuffer(text.encode(), np.uint8)
-        char = np.cumsum((data & 0xC0) != 0x80)  # code points begun up to a byte
-        places = np.unique(char[cuts(data) - 1])
-        places = places[(places > 0) & (places < len(text))].tolist()
-        edges = [m.start() for m in _EDGE.finditer(text)]
-        if not edges or not places:
-            return self.chunk(text)
-        # Cores lie between the word edges inside each chunk; the windows between them are the joins.
-        at = np.searchsorted(edges, places)
-        windows: list[list[int]] = []
-        for p, k in zip(places, at.tolist(), strict=True):
-            lo, hi = k - 1, k if k < len(edges) and edges[k] > p else k + 1
-            if windows and lo <= windows[-1][1]:
-                windows[-1][1] = hi
-            else:
-                windows.append([lo, hi])
-        place = lambda k: 0 if k < 0 else len(text) if k >= len(edges) else edges[k]
-        joins: list[tuple[int, int, np.ndarray]] = []
-        for lo, hi in windows:
+        at = cuts(data)
+        places = at if len(data) == len(text) else np.unique(np.cumsum((data & 0xC0) != 0x80)[at - 1])
+        joins: list[list] = []
+        for p in places[(places > 0) & (places < len(text))].tolist():
+            lo, hi = edge_before(text, p), edge_after(text, p)
+            if joins and lo <= joins[-1][1]:
+                lo = joins.pop()[0]
             while True:
-                own = self.ids(text[place(lo) : place(hi)])
-                wide = self.ids(text[place(lo - 1) : place(hi + 1)])
-                parts = [self.ids(text[place(lo - 1) : place(lo)]), own, self.ids(text[place(hi) : place(hi + 1)])]
-                if np.array_equal(wide, np.concatenate(parts)):
+                own = self.raw(text[lo:hi])
+                left, right = edge_before(text, lo), edge_after(text, hi)
+                if self.raw(text[left:right]) == self.raw(text[left:lo]) + own + self.raw(text[hi:right]):
                     break
-                lo, hi = lo - 1, hi + 1
-            if joins and lo <= joins[-1][1]:
-                lo = joins.pop()[0] if joins[-1][0] < lo else lo
-                own = self.ids(text[place(lo) : place(hi)])
-            joins.append((lo, hi, own))
+                lo, hi = left, right
+                while joins and lo <= joins[-1][1]:
+                    lo = joins.pop()[0]
+            joins.append([lo, hi, own])
         out, done = [], 0
         for lo, hi, own in joins:
-            if place(lo) > done:
-                out.append(self.chunk(text[done : place(lo)]))
+            if lo > done:
+                out.append(self.chunk(text[done:lo]))
             out.append(own)
-            done = place(hi)
+            done = hi
         if done < len(text):
             out.append(self.chunk(text[done:]))
-        return np.concatenate(out)
+        return b"".join(out)
 
     def decode(self, ids: np.ndarray) -> str:
         """As the library decodes with its special tokens kept: bytes of the tokens, broken UTF-8 replaced."""
