@@ -1,11 +1,17 @@
 """Quality rules with adaptive thresholds from mergeable quantile sketches. DataFrame functions only.
 
 Each document gets whole-text statistics. Thresholds are not fixed: for each (language, source) and statistic a quantile sketch is
-kept as counts by log-linear bucket (values below 32 exactly, larger ones to 1/32 of their value; at most 1,984 buckets), so sketches
-merge by addition, in any order and with the same result, and combine before the shuffle. A document fails a rule if its value is beyond a
-fence above the third (or below the first) quartile of its group: ``q3 + WIDTH * (q3 - q1) + slack``, so ordinary spread is kept at
-any level a source has. Groups of fewer than ``MIN_GROUP`` documents use their language's sketch, small languages the whole corpus's, by
-merging. A source of mostly junk would set its own norm; so a group's fence is never looser than ``LOOSEST`` times its language's.
+kept as counts by log-linear bucket (values below 32 exactly, larger ones to 1/32 of their value; for rules on both sides below 512 exactly
+and to 1/512), so sketches merge by addition, in any order and with the same result, and combine before the shuffle. A document fails a rule
+if its value is beyond a fence above the third (or below the first) quartile of its group, so ordinary spread is kept at any level a source
+has. Groups of fewer than ``MIN_GROUP`` documents use their language's sketch, small languages the whole corpus's, by merging.
+
+Rules on both sides (mean word length; share of words of up to three characters) have spread in any prose, so their fences ``q1 - BOTH * (q3 - q1) - slack``
+and ``q3 + BOTH * (q3 - q1) + slack`` follow the group. Rules on the high side are for marks that most documents lack: ``q3 + WIDTH * (q3 - q1) + slack``,
+which is the fixed cutoff ``slack`` wherever three quarters of a group have none of the mark, and only follows a group that has.
+
+A source of mostly junk would set its own norm; so a group's fence is never looser than ``LOOSEST`` times its language's (on both sides:
+than its language's with ``LOOSEST`` times ``BOTH``).
 
 Documents are joined with the thresholds by (language, source). Adaptive execution broadcasts these when their measured size is small, and splits a
 hot source otherwise.
@@ -25,9 +31,13 @@ from .common import SPACE_CLASS, WORD_CLASS, Scratch
 MIN_WORDS = 50
 MIN_GROUP = 30
 WIDTH = 6
+BOTH = 3
+FINE = 9  # bits of buckets of rules on both sides
 LOOSEST = 2
 #: Rules: statistic, side, and the slack by which a value must at least exceed its quartile.
-RULES = {"symbol_permille": ("high", 50), "dup_line_permille": ("high", 200), "repeat_permille": ("high", 200), "exclaim_permille": ("high", 100)}
+RULES = {"symbol_permille": ("high", 50), "dup_line_permille": ("high", 200), "repeat_permille": ("high", 200), "exclaim_permille": ("high", 100), "word_length_milli": ("both", 200), "short_word_permyriad": ("both", 200)}
+#: Rules whose fences lie on both sides.
+TWO_SIDED = [rule for rule, (side, _) in RULES.items() if side == "both"]
 
 
 def _let(value: Column, body) -> Column:
@@ -75,29 +85,30 @@ def statistics(docs: DataFrame) -> DataFrame:
         (F.length(text) - spaces).cast("long").alias("word_chars"),
         F.regexp_count(text, F.lit("[#*$%&|<>]")).cast("long").alias("n_symbols"),
         F.regexp_count(text, F.lit("!")).cast("long").alias("n_exclaims"),
+        (n_words - F.regexp_count(text, F.lit(f"{WORD_CLASS}{{4,}}"))).cast("long").alias("n_short_words"),
         _let(lines, lambda x: F.struct(F.size(x).cast("long").alias("n"), (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("d"))).alias("_l"),
         _repeat_words(words, n_words).alias("n_repeat_words"),
     )
-    permille = lambda a, b: F.expr(f"coalesce({a} * 1000 div nullif({b}, 0), 0)")
+    permille = lambda a, b, k=1000: F.expr(f"coalesce({a} * {k} div nullif({b}, 0), 0)")
     named = counted.withColumn("n_lines", F.col("_l.n")).withColumn("n_dup_lines", F.col("_l.d")).drop("_l")
-    return named.withColumns({"symbol_permille": permille("n_symbols", "word_chars"), "dup_line_permille": permille("n_dup_lines", "n_lines"), "repeat_permille": permille("n_repeat_words", "n_words"), "exclaim_permille": permille("n_exclaims", "n_words")})
+    return named.withColumns({"symbol_permille": permille("n_symbols", "word_chars"), "dup_line_permille": permille("n_dup_lines", "n_lines"), "repeat_permille": permille("n_repeat_words", "n_words"), "exclaim_permille": permille("n_exclaims", "n_words"), "word_length_milli": permille("word_chars", "n_words"), "short_word_permyriad": permille("n_short_words", "n_words", 10000)})
 
 
-def bucket_of(x: Column) -> Column:
-    """Bucket of a non-negative long: itself below 32, then 32 for each doubling."""
-    e = F.greatest(F.length(F.bin(x)) - 6, F.lit(0))
-    return F.when(x < 32, x).otherwise(e * 32 + F.call_function("shiftright", x, e)).cast("int")
+def bucket_of(x: Column, bits: int = 5) -> Column:
+    """Bucket of a non-negative long: itself below ``2**bits``, then ``2**bits`` for each doubling."""
+    e = F.greatest(F.length(F.bin(x)) - bits - 1, F.lit(0))
+    return F.when(x < 2**bits, x).otherwise(e * 2**bits + F.call_function("shiftright", x, e)).cast("int")
 
 
-def bucket_floor(b: Column) -> Column:
+def bucket_floor(b: Column, bits: int = 5) -> Column:
     """The smallest value of a bucket."""
-    e = F.greatest(F.floor(b / 32).cast("int") - 1, F.lit(0))
-    return F.call_function("shiftleft", (b - e * 32).cast("long"), e)
+    e = F.greatest(F.floor(b / 2**bits).cast("int") - 1, F.lit(0))
+    return F.call_function("shiftleft", (b - e * 2**bits).cast("long"), e)
 
 
 def sketches(stats: DataFrame) -> DataFrame:
     """``(lang, source, rule, bucket, n)``: the quantile sketches; the stack is a row for each rule and document, combined at once."""
-    stacked = stats.select("lang", "source", F.explode(F.array(*(F.struct(F.lit(r).alias("rule"), bucket_of(F.col(r)).alias("bucket")) for r in RULES))).alias("x"))
+    stacked = stats.select("lang", "source", F.explode(F.array(*(F.struct(F.lit(r).alias("rule"), bucket_of(F.col(r), FINE if r in TWO_SIDED else 5).alias("bucket")) for r in RULES))).alias("x"))
     return stacked.groupBy("lang", "source", "x.rule", "x.bucket").agg(F.count("*").alias("n"))
 
 
@@ -107,20 +118,29 @@ def quartiles(sketch: DataFrame, by: list[str]) -> DataFrame:
     group = Window.partitionBy(*by, "rule")
     ranked = merged.withColumn("upto", F.sum("n").over(group.orderBy("bucket"))).withColumn("total", F.sum("n").over(group))
     at = lambda k: F.min(F.when(F.col("upto") * 4 >= F.col("total") * k, F.col("bucket")))
-    return ranked.groupBy(*by, "rule").agg(F.max("total").alias("docs"), bucket_floor(at(1)).alias("q1"), bucket_floor(at(3)).alias("q3"))
+    floor = lambda b: F.when(F.col("rule").isin(TWO_SIDED), bucket_floor(F.col(b), FINE)).otherwise(bucket_floor(F.col(b)))
+    return ranked.groupBy(*by, "rule").agg(F.max("total").alias("docs"), at(1).alias("b1"), at(3).alias("b3")).select(*by, "rule", "docs", floor("b1").alias("q1"), floor("b3").alias("q3"))
 
 
 def thresholds(sketch: DataFrame) -> DataFrame:
-    """``(lang, source)`` with a column of fences for each rule; the statistic fails above it."""
-    fence = F.col("q3") + WIDTH * (F.col("q3") - F.col("q1"))
-    own, lang, whole = (quartiles(sketch, by).withColumn("fence", fence).select(*(F.col(x).alias(f"{p}_{x}") for x in [*by, "rule", "docs", "fence"])) for p, by in (("o", ["lang", "source"]), ("l", ["lang"]), ("w", [])))
+    """``(lang, source)`` with columns of fences for each rule; the statistic fails above ``max_`` and, of rules on both sides, below ``min_``."""
+    own, lang, whole = (quartiles(sketch, by).select(*(F.col(x).alias(f"{p}_{x}") for x in [*by, "rule", "docs", "q1", "q3"])) for p, by in (("o", ["lang", "source"]), ("l", ["lang"]), ("w", [])))
     joined = own.join(lang, F.col("o_lang").eqNullSafe(F.col("l_lang")) & (F.col("o_rule") == F.col("l_rule"))).join(whole, F.col("o_rule") == F.col("w_rule"))
-    wider = F.when(F.col("l_docs") >= MIN_GROUP, F.col("l_fence")).otherwise(F.col("w_fence"))
-    slack = F.lit(None)
-    for rule, (_, least) in RULES.items():
-        slack = F.when(F.col("o_rule") == rule, least).otherwise(slack)
-    level = F.when(F.col("o_docs") >= MIN_GROUP, F.least(F.col("o_fence"), LOOSEST * wider + slack)).otherwise(wider) + slack
-    return joined.groupBy(F.col("o_lang").alias("_lang"), F.col("o_source").alias("_source")).agg(*(F.max(F.when(F.col("o_rule") == r, level)).alias(f"max_{r}") for r in RULES))
+    above = lambda p, width: F.col(f"{p}_q3") + width * (F.col(f"{p}_q3") - F.col(f"{p}_q1"))
+    below = lambda p, width: F.col(f"{p}_q1") - width * (F.col(f"{p}_q3") - F.col(f"{p}_q1"))
+    wider = lambda fence, width: F.when(F.col("l_docs") >= MIN_GROUP, fence("l", width)).otherwise(fence("w", width))
+    large = F.col("o_docs") >= MIN_GROUP
+    fences = []
+    for rule, (side, slack) in RULES.items():
+        if side == "high":
+            ends = {"max": F.when(large, F.least(above("o", WIDTH), LOOSEST * wider(above, WIDTH) + slack)).otherwise(wider(above, WIDTH)) + slack}
+        else:
+            ends = {
+                "max": F.when(large, F.least(above("o", BOTH), wider(above, LOOSEST * BOTH))).otherwise(wider(above, BOTH)) + slack,
+                "min": F.when(large, F.greatest(below("o", BOTH), wider(below, LOOSEST * BOTH))).otherwise(wider(below, BOTH)) - slack,
+            }
+        fences += [F.max(F.when(F.col("o_rule") == rule, level)).alias(f"{end}_{rule}") for end, level in ends.items()]
+    return joined.groupBy(F.col("o_lang").alias("_lang"), F.col("o_source").alias("_source")).agg(*fences)
 
 
 def evaluate(spark: SparkSession, docs: DataFrame) -> DataFrame:
@@ -132,8 +152,10 @@ def evaluate(spark: SparkSession, docs: DataFrame) -> DataFrame:
     passed = F.lit(True)
     for rule in RULES:
         passed = passed & (F.col(rule) <= F.col(f"max_{rule}"))
+    for rule in TWO_SIDED:
+        passed = passed & (F.col(rule) >= F.col(f"min_{rule}"))
     columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    return out.select(*columns, base_failed.alias("base_failed"), (~base_failed & passed).alias("kept"), *RULES, *(f"max_{r}" for r in RULES))
+    return out.select(*columns, base_failed.alias("base_failed"), (~base_failed & passed).alias("kept"), *RULES, *(f"max_{r}" for r in RULES), *(f"min_{r}" for r in TWO_SIDED))
 
 
 def kept_documents(spark: SparkSession, docs: DataFrame) -> DataFrame:

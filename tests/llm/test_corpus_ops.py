@@ -185,6 +185,71 @@ def test_quality_rules(spark):
     assert sum(r.kept for r in good) >= 0.98 * len(good)
 
 
+def brute_fences(stats, side, slack):
+    """Fences of each (lang, source) of ``{(lang, source): values}``, by sorting; large values count as the floor of their bucket."""
+    bits = quality_rules.FINE if side == "both" else 5
+
+    def quartiles(values):
+        low = sorted(v >> max(v.bit_length() - bits - 1, 0) << max(v.bit_length() - bits - 1, 0) for v in values)
+        return low[-(-len(low) // 4) - 1], low[-(-3 * len(low) // 4) - 1]
+
+    out = {}
+    for lang, source in stats:
+        own, same = stats[lang, source], [v for k, vs in stats.items() if k[0] == lang for v in vs]
+        wide = quartiles(same if len(same) >= quality_rules.MIN_GROUP else [v for vs in stats.values() for v in vs])
+        up = lambda q, w: q[1] + w * (q[1] - q[0])
+        down = lambda q, w: q[0] - w * (q[1] - q[0])
+        q, large = quartiles(own), len(own) >= quality_rules.MIN_GROUP
+        if side == "high":
+            out[lang, source] = (None, (min(up(q, 6), 2 * up(wide, 6) + slack) if large else up(wide, 6)) + slack)
+        else:
+            out[lang, source] = ((max(down(q, 3), down(wide, 6)) if large else down(wide, 3)) - slack, (min(up(q, 3), up(wide, 6)) if large else up(wide, 3)) + slack)
+    return out
+
+
+def test_quality_fences(spark):
+    """``kept`` against brute force, with groups above and below the least size; fences on both sides follow their group."""
+    import random
+    from collections import Counter
+
+    rng = random.Random(5)
+    prose = lambda low, high: " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randint(low, high))) for _ in range(120))
+    planted = {-1: prose(11, 13), -2: prose(2, 3)} | {-k: prose(1, 9) for k in range(3, 43)}
+    docs = [r for r in rows_of("/root/testdata/sf0.1/documents.parquet") if r["source"] in ("src1", "src2", "src18", "src44") or r["doc_id"] % 50 == 0]
+    docs += [{"doc_id": k, "text": text, "lang": "zz", "source": "planted"} for k, text in planted.items()]
+    df = spark.createDataFrame([(r["doc_id"], r["text"], r["lang"], r["source"]) for r in docs], "doc_id long, text string, lang string, source string")
+    values, groups = {}, {}
+    for r in docs:
+        text = r["text"] or ""
+        words, lines = WORD.findall(text), [x for x in text.split("\n") if WORD.search(x)]
+        n, chars, symbols, dups, repeats = base_counts(text)
+        share = lambda a, b, k=1000: a * k // b if b else 0
+        values[r["doc_id"]] = (share(symbols, chars), share(dups, len(lines)), share(repeats, n), share(text.count("!"), n), share(chars, n), share(sum(len(w) <= 3 for w in words), n, 10000))
+        groups[r["doc_id"]] = (r["lang"], r["source"])
+    fences = []
+    for at, (side, slack) in enumerate(quality_rules.RULES.values()):
+        stats = {}
+        for k, v in values.items():
+            stats.setdefault(groups[k], []).append(v[at])
+        fences.append(brute_fences(stats, side, slack))
+    sizes = Counter(groups.values())
+    assert any(n < quality_rules.MIN_GROUP for n in sizes.values()) and sum(n >= quality_rules.MIN_GROUP for n in sizes.values()) >= 3
+    out = quality_rules.evaluate(spark, df).collect()
+    assert len(out) == len(docs)
+    for r in out:
+        ends = [f[groups[r.doc_id]] for f in fences]
+        assert tuple(r[x] for x in quality_rules.RULES) == values[r.doc_id]
+        assert [r[f"max_{x}"] for x in quality_rules.RULES] == [b for _, b in ends]
+        assert r.kept == (not r.base_failed and all((a is None or a <= v) and v <= b for v, (a, b) in zip(values[r.doc_id], ends, strict=True)))
+    for at in (4, 5):
+        assert len({fences[at][g] for g, n in sizes.items() if n >= quality_rules.MIN_GROUP}) >= 3
+    # Only long or only short words: rejected by the rules on both sides, and by no other.
+    kept = {r.doc_id: r for r in out if r.doc_id < 0}
+    assert [k for k, r in kept.items() if not r.kept and k < -2] == [] and not kept[-1].kept and not kept[-2].kept
+    for r in (kept[-1], kept[-2]):
+        assert not r.base_failed and all(r[x] <= r[f"max_{x}"] for x in list(quality_rules.RULES)[:4])
+
+
 def test_quality_repeats(spark):
     texts = ["", "a", "a b", "a b c", "a b c a b c", "a a a a", "a b a b a b", "x a b c y a b c a b c", "a b c d a b c e b c d", " a  b\tc\n", "l\nl\n \n\nl", "\n".join(["q w e r"] * 5)]
     df = spark.createDataFrame([(i, t, "en", "s") for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string")
