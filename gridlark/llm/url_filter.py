@@ -4,10 +4,9 @@ A list entry is dated: ``(list_name, pattern, action, listed_at)``, where the pa
 host with a path prefix, and the action adds or removes it. Entries become validity intervals ``[valid_from, valid_to)``; an as-of
 join evaluates each capture against the entries that were active at its fetch time.
 
-The join is an equi-join on pattern: a capture asks for its host with all parent domains and for its path prefixes (at most
-``MAX_DEPTH`` of either, which covers every host of up to that many labels; deeper hosts ask for their last labels, deeper paths for
-their first segments; patterns of more are rejected as unmatched). Intervals of a pattern are folded into one row first, so a capture
-meets at most one row for each pattern it asks for. No side is broadcast by hint; a host with a third of the captures only makes
+The join is an equi-join on pattern: a capture asks for its host with all parent domains and for all its path prefixes, of the depths
+that the list's patterns have; as many patterns as its url has labels and segments, at most. Intervals of a pattern are folded into one
+row first, so a capture meets at most one row for each pattern it asks for. No side is broadcast by hint; a host with a third of the captures only makes
 repeated join keys on the capture side, which are combined with a distinct before the join.
 
 Defined cases: a null url or fetch time matches nothing (blocked false); an entry with a null pattern, action or date is dropped;
@@ -20,8 +19,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-MAX_DEPTH = 8
-
 
 def host_of(url: Column) -> Column:
     """Lower-case host without user, port and final dot; null where the url has none."""
@@ -33,13 +30,19 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*)", 1)
 
 
-def capture_patterns(url: Column) -> Column:
-    """The patterns that would block a url: its host, its parent domains, and its host with each path prefix."""
+def list_depths(patterns: DataFrame) -> DataFrame:
+    """One row: the numbers of labels ``_labels`` that patterns without a path have, and of segments ``_segments`` that those with one have."""
+    slashes = F.regexp_count("pattern", F.lit("/"))
+    labels = F.regexp_count("pattern", F.lit(r"\.")) + 1
+    return patterns.agg(F.collect_set(F.when(slashes == 0, labels)).alias("_labels"), F.collect_set(F.when(slashes > 0, slashes)).alias("_segments"))
+
+
+def capture_patterns(url: Column, label_depths: Column, segment_depths: Column) -> Column:
+    """The patterns of the given depths that would block a url: its host, its parent domains, and its host with each path prefix."""
     host, labels = host_of(url), F.split(host_of(url), r"\.")
-    domains = F.transform(F.sequence(F.lit(1), F.least(F.size(labels), F.lit(MAX_DEPTH))), lambda i: F.concat_ws(".", F.slice(labels, -i, i)))
+    domains = F.transform(F.filter(label_depths, lambda i: i <= F.size(labels)), lambda i: F.concat_ws(".", F.slice(labels, -i, i)))
     parts = F.filter(F.split(path_of(url), "/"), lambda x: x != "")
-    depth = F.least(F.size(parts), F.lit(MAX_DEPTH))
-    prefixes = F.when(depth > 0, F.transform(F.sequence(F.lit(1), depth), lambda i: F.concat(host, F.lit("/"), F.concat_ws("/", F.slice(parts, 1, i))))).otherwise(F.array().cast("array<string>"))
+    prefixes = F.transform(F.filter(segment_depths, lambda i: i <= F.size(parts)), lambda i: F.concat(host, F.lit("/"), F.concat_ws("/", F.slice(parts, 1, i))))
     return F.when(host.isNotNull(), F.array_distinct(F.concat(domains, prefixes)))
 
 
@@ -57,7 +60,8 @@ def validity_intervals(entries: DataFrame) -> DataFrame:
 def filter_urls(captures: DataFrame, entries: DataFrame, *, key: str = "page_id", url: str = "url", fetched_at: str = "fetched_at") -> DataFrame:
     """A row for each capture: key, url, fetch time, ``n_matches`` (active entries), ``matched`` (the smallest ``list:pattern``), ``blocked``."""
     folded = validity_intervals(entries).groupBy("pattern").agg(F.collect_list(F.struct("list_name", "valid_from", "valid_to")).alias("spans"))
-    shot = captures.select(F.col(key), F.col(url), F.col(fetched_at), capture_patterns(F.col(url)).alias("_patterns"))
+    patterns = capture_patterns(F.col(url), F.col("_labels"), F.col("_segments"))
+    shot = captures.select(F.col(key), F.col(url), F.col(fetched_at)).crossJoin(list_depths(folded)).select(F.col(key), F.col(url), F.col(fetched_at), patterns.alias("_patterns"))
     # Which patterns occur at all: distinct before the join, so a hot host is one row of a map task.
     asked = shot.select(F.explode("_patterns").alias("pattern"), F.col(fetched_at).alias("_at")).distinct()
     active = asked.join(folded, "pattern").select("pattern", "_at", F.explode(F.filter("spans", lambda s: (s.valid_from <= F.col("_at")) & (s.valid_to.isNull() | (s.valid_to > F.col("_at"))))).alias("s"))
@@ -65,6 +69,6 @@ def filter_urls(captures: DataFrame, entries: DataFrame, *, key: str = "page_id"
     # Captures of the same url and time share their matches.
     pair = shot.select(F.col(url).alias("_u"), F.col(fetched_at).alias("_at"), F.col("_patterns")).dropDuplicates(["_u", "_at"])
     found = pair.select("_u", "_at", F.explode("_patterns").alias("pattern")).join(hits, ["pattern", "_at"]).groupBy("_u", "_at").agg(F.sum("n").alias("n_matches"), F.min("m").alias("matched"))
-    left = shot.select(F.col(key), F.col(url), F.col(fetched_at))
+    left = captures.select(F.col(key), F.col(url), F.col(fetched_at))
     out = left.join(found, (left[url] == found._u) & (left[fetched_at] == found._at), "left")
     return out.select(left[key], left[url], left[fetched_at], F.coalesce("n_matches", F.lit(0)).cast("long").alias("n_matches"), F.col("matched"), F.col("n_matches").isNotNull().alias("blocked"))

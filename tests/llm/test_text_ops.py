@@ -242,3 +242,15 @@ def test_url_intervals(spark):
     assert all(out[i * 10 + k] == (0, None) for i in range(2, 7) for k in range(5))
     assert url_filter.filter_urls(shots, entries_.limit(0)).where("blocked").count() == 0
     assert url_filter.filter_urls(shots.limit(0), entries_).count() == 0
+
+
+def test_url_depths(spark):
+    """Hosts and paths of any depth match, by their whole and by parts of them; one capture's path has 20,000 segments."""
+    host, path = ".".join("abcdefghij"), "/".join(f"s{i}" for i in range(12))
+    rows = [("h", host, "add", 1), ("d", ".".join("bcdefghij"), "add", 1), ("p", f"x.com/{path}", "add", 1), ("q", f"{host}/{path}", "add", 1)]
+    entries_ = spark.createDataFrame(rows, "list_name string, pattern string, action string, listed_at long")
+    urls = [f"http://{host}/", f"http://z.{host}/{path}", "http://" + ".".join("bcdefghij"), "http://" + ".".join("cdefghij"), f"http://x.com/{path}", f"http://x.com/{path}/t?u", f"http://x.com/{path[:-4]}", f"http://{host}/{path}/t", "http://x.com" + "/a" * 20000]
+    shots = spark.createDataFrame([(i, u, 1) for i, u in enumerate(urls)], "page_id long, url string, fetched_at long")
+    out = {r.page_id: (r.n_matches, r.matched) for r in url_filter.filter_urls(shots, entries_).collect()}
+    below = "d:" + ".".join("bcdefghij")
+    assert out == {0: (2, below), 1: (2, below), 2: (1, below), 3: (0, None), 4: (1, f"p:x.com/{path}"), 5: (1, f"p:x.com/{path}"), 6: (0, None), 7: (3, below), 8: (0, None)}
