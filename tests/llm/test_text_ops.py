@@ -254,3 +254,20 @@ def test_url_depths(spark):
     out = {r.page_id: (r.n_matches, r.matched) for r in url_filter.filter_urls(shots, entries_).collect()}
     below = "d:" + ".".join("bcdefghij")
     assert out == {0: (2, below), 1: (2, below), 2: (1, below), 3: (0, None), 4: (1, f"p:x.com/{path}"), 5: (1, f"p:x.com/{path}"), 6: (0, None), 7: (3, below), 8: (0, None)}
+
+
+def test_url_hot_domains(spark):
+    """Real parent domains, each listed, removed and listed again, that a third of the captures lie below: against brute force."""
+    pages = rows_of("/root/testdata/sf0.01/pages.parquet")
+    host = lambda u: m[1].lower() if (m := re.match(r"[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)", u or "")) else None
+    shots = [(r["page_id"], r["url"], r["page_id"] * 37 % 730) for r in pages]
+    domains = sorted({".".join(host(u).split(".")[-2:]) for _, u, _ in shots if host(u)})
+    spans = [(name, d, 40 * i + a, 40 * i + b) for i, d in enumerate(domains) for name, a, b in (("domains", 50, 250), ("domains", 400, 650), ("other", 200, 500))]
+    entries_ = spark.createDataFrame([(n, d, "add", a) for n, d, a, _ in spans] + [(n, d, "remove", b) for n, d, _, b in spans], "list_name string, pattern string, action string, listed_at long")
+    df = spark.createDataFrame(shots, "page_id long, url string, fetched_at long")
+    want = {}
+    for k, u, t in shots:
+        found = [f"{n}:{d}" for n, d, a, b in spans if host(u) and f".{host(u)}".endswith(f".{d}") and a <= t < b]
+        want[k] = (len(found), min(found, default=None), bool(found))
+    assert sum(n for n, _, _ in want.values()) > len(pages) / 3
+    assert {r.page_id: (r.n_matches, r.matched, r.blocked) for r in url_filter.filter_urls(df, entries_).collect()} == want
