@@ -74,7 +74,7 @@ def _ips(text: str) -> Iterator[tuple[int, int]]:
         for i in range(0, len(parts) - 3, 4):
             four = parts[i : i + 4]
             end = at + sum(map(len, four)) + 3
-            if all(len(x.lstrip("0")) <= 3 and int(x) <= 255 for x in four):
+            if all(len(x.lstrip("0")) <= 3 and int(x.lstrip("0") or "0") <= 255 for x in four):
                 yield at, end
             at = end + 1
 

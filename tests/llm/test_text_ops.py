@@ -32,6 +32,14 @@ def test_base_spans(text):
     assert pii.base_spans(text) == brute_base(text)
 
 
+def test_ip_of_many_zeros():
+    """Python refuses to read integers of more than 4,300 digits; leading zeros don't count."""
+    zeros = "0" * 5000
+    for text, ends in ((f"{zeros}.1.1.1", [5006]), (f"x {zeros}7.1.{zeros}255.1", [10011]), (f"{zeros}256.1.1.1", []), ("9" * 5000 + ".1.1.1", [])):
+        assert [b for _, b, k in pii.base_spans(text) if k == 1] == ends
+    assert pii.all_spans(f"{zeros}.1.1.1", pii.potentials())[0] == [(0, 5006, 1)]
+
+
 def test_base_spans_random():
     rng = random.Random(4)
     for _ in range(3000):
