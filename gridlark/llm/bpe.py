@@ -7,8 +7,8 @@ word, until encoding the grown window equals the tokens of its three parts; that
 
 A word edge is a place where a blank, tab or line end follows a character that is no white space: the pre-tokenizer of byte-level BPE
 begins a token there whatever stands before, so encoding is separable at it, and special tokens, which hold no white space, never span it.
-Agreement is still tested for each join rather than assumed; growth ends at the text's ends. For the same reason a chunk that
-isn't in the cache is put together from its words, whose tokens are cached too (bounded, emptied when full); the library encodes each new
+This separability is assumed: windows and their parts are all put together from the same words' tokens, so they agree at once and no
+window grows; tests compare whole texts with the library. For the same reason a chunk that isn't in the cache is put together from its words, whose tokens are cached too (bounded, emptied when full); the library encodes each new
 word. Texts with other white space (no-break spaces, vertical tabs and the like) go to the library whole.
 
 Chunks are shared within a task, not between tasks: a join of all chunks over the cluster would move the whole corpus twice, and the
