@@ -118,4 +118,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_url_filter": URL_SQL, "op3_warc_zip": WARC_SQL}
+    return {"op2_url_filter": URL_SQL, "op3_warc_zip": WARC_SQL, "op9_quality_rules": quality_rules.ORACLE_SQL}
