@@ -1,15 +1,17 @@
 """Quality classifier: random Fourier features, ridge regression from summed normal equations, isotonic calibration.
 
 Each text becomes ``len(STATS)`` whole-text statistics, standardized by the training rows. ``FEATURES`` random Fourier features
-approximate a Gaussian kernel on them. Each partition sums its normal equations (a matrix of fixed size, independent of the rows), the
-sums are added in a tree, and the ridge weights are solved on the driver. Raw scores of the training rows are counted in
-``SCORE_BINS`` fixed bins with their labels, in the same way, and pool-adjacent-violators over the bins gives the calibration,
-with one pseudo-row of either label, so a score is never quite 0 or 1.
+approximate a Gaussian kernel on them; nothing but these features and a constant enters the regression. Each partition sums its normal equations for each of
+``FOLDS`` folds of the training rows (matrices of fixed size, independent of the rows), the sums are added in a tree, and the ridge weights are
+solved on the driver: of all rows, and of all but each fold. Raw scores of each fold's rows, by the weights that haven't seen it, are counted in
+``SCORE_BINS`` fixed bins with their labels, and pool-adjacent-violators over the bins gives the calibration. Each bin holds ``PSEUDO`` of a row at the
+labels' mean beforehand, so the curve never decreases and a score is never quite 0 or 1.
 
 Labels are learned from rows whose ``crc32(doc_id as text) mod 3`` is not 1. Language, source, id and labels are never inputs of a score.
 
-Defined cases: a null text is empty and is scored as such; a null label or id doesn't train; a document labelled twice trains twice; repeated
-rows are scored each; extra columns are ignored; without training rows (or none of one label) every score is 0.5; empty tables give empty results.
+Defined cases: a null text is empty and is scored as such; a null label or id doesn't train, and a row without an id is scored, as not held out; a document
+labelled twice trains twice; repeated rows are scored each; extra columns are ignored; without training rows (or none of one label) every score is
+0.5; empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -27,6 +29,8 @@ FEATURES = 256
 GAMMA = 0.05  # of the kernel exp(-gamma |x-y|^2) on standardized statistics
 RIDGE = 1.0
 SCORE_BINS = 512
+FOLDS = 4
+PSEUDO = 1 / 64
 STATS = ["log_words", "log_chars", "upper", "digit", "symbol", "punct", "exclaim", "newline", "space", "high", "word_len", "word_len_sd", "distinct", "distinct_pairs", "distinct_lines", "top_word", "entropy", "adjacent_equal"]
 
 _CLASS = np.zeros(256, np.int64)  # 0: other
@@ -92,7 +96,7 @@ def fourier(seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
 def _lift(x: np.ndarray, mean: np.ndarray, scale: np.ndarray) -> np.ndarray:
     w, b = fourier()
     z = np.clip((x - mean) / scale, -8, 8)
-    return np.concatenate([np.cos(z @ w + b) * np.sqrt(2 / FEATURES), z / np.sqrt(len(STATS)), np.ones((len(x), 1))], 1)
+    return np.concatenate([np.cos(z @ w + b) * np.sqrt(2 / FEATURES), np.ones((len(x), 1))], 1)
 
 
 def _matrix(batch: pa.RecordBatch) -> np.ndarray:
@@ -123,15 +127,24 @@ def _summed(rows: DataFrame, per_batch, size: int) -> np.ndarray:
 
 
 def isotonic(total: np.ndarray, good: np.ndarray) -> np.ndarray:
-    """Non-decreasing means by pool-adjacent-violators; bins without rows take their neighbours' value."""
-    blocks: list[list[float]] = []
-    for n, g in zip(total, good, strict=True):
-        blocks.append([g, n, 1])
-        while len(blocks) > 1 and (blocks[-1][1] == 0 or blocks[-2][1] == 0 or blocks[-2][0] * blocks[-1][1] >= blocks[-1][0] * blocks[-2][1]):
+    """Non-decreasing means by pool-adjacent-violators, each bin holding ``PSEUDO`` of a row at the mean besides its own."""
+    mean = good.sum() / total.sum() if total.sum() else 0.5
+    blocks: list[tuple[float, float, int]] = []
+    for n, g in zip(total + PSEUDO, good + PSEUDO * mean, strict=True):
+        k = 1
+        while blocks and blocks[-1][0] * n >= g * blocks[-1][1]:
             g2, n2, k2 = blocks.pop()
-            blocks[-1] = [blocks[-1][0] + g2, blocks[-1][1] + n2, blocks[-1][2] + k2]
-    prior = good.sum() / max(total.sum(), 1)
-    return np.concatenate([np.full(int(k), (g + prior) / (n + 1)) for g, n, k in blocks])
+            g, n, k = g + g2, n + n2, k + k2
+        blocks.append((g, n, k))
+    return np.maximum.accumulate(np.concatenate([np.full(k, g / n) for g, n, k in blocks]))
+
+
+def solved(sums: np.ndarray) -> np.ndarray:
+    """Ridge weights from summed normal equations; the constant isn't penalized."""
+    size = FEATURES + 1
+    penalty = np.full(size, RIDGE)
+    penalty[-1] = 1e-6
+    return np.linalg.solve(sums[: size * size].reshape(size, size) + np.diag(penalty), sums[size * size :])
 
 
 def _bin(raw: np.ndarray) -> np.ndarray:
@@ -139,7 +152,7 @@ def _bin(raw: np.ndarray) -> np.ndarray:
 
 
 def held_out(doc_id: Column) -> Column:
-    return F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
 def classify(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -148,7 +161,8 @@ def classify(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFra
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     stats = scratch.save(rows.mapInArrow(_stats, "doc_id long, x array<double>"), "stats")
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("double").alias("y")).where("y is not null and doc_id is not null")
-    train = scratch.save(stats.join(known.where(~held_out(F.col("doc_id"))), "doc_id").select("x", "y"), "train")
+    fold = F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)).alias("fold")
+    train = scratch.save(stats.join(known.where(~held_out(F.col("doc_id"))), "doc_id").select("x", "y", fold), "train")
     d = len(STATS)
 
     def moments(batch: pa.RecordBatch) -> np.ndarray:
@@ -159,24 +173,23 @@ def classify(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFra
     fallback = n == 0 or positive in (0, n)
     mean, square = np.array(rest[:d]) / max(n, 1), np.array(rest[d:]) / max(n, 1)
     scale = np.sqrt(np.maximum(square - mean * mean, 1e-12)) + 1e-6
-    size = FEATURES + d + 1
+    size = FEATURES + 1
     # Labels weigh as if both were equally many, so a rare label isn't drowned.
     weight = np.array([n / max(2 * (n - positive), 1), n / max(2 * positive, 1)])
 
     def equations(batch: pa.RecordBatch) -> np.ndarray:
-        z, y = _lift(_matrix(batch), mean, scale), np.asarray(batch.column("y"))
-        w = weight[(y > 0.5).astype(int)]
-        return np.concatenate([(z.T @ (z * w[:, None])).ravel(), z.T @ (y * w)])
+        z, y, fold = _lift(_matrix(batch), mean, scale), np.asarray(batch.column("y")), np.asarray(batch.column("fold"))
+        zw = z * weight[(y > 0.5).astype(int)][:, None]
+        return np.concatenate([part for k in range(FOLDS) for part in ((z[fold == k].T @ zw[fold == k]).ravel(), zw[fold == k].T @ y[fold == k])])
 
     beta, curve = np.zeros(size), np.full(SCORE_BINS, 0.5)
     if not fallback:
-        sums = _summed(train, equations, size * size + size)
-        penalty = np.full(size, RIDGE)
-        penalty[-1] = 1e-6
-        beta = np.linalg.solve(sums[: size * size].reshape(size, size) + np.diag(penalty), sums[size * size :])
+        sums = _summed(train, equations, FOLDS * (size * size + size)).reshape(FOLDS, -1)
+        beta, unseen = solved(sums.sum(0)), np.stack([solved(sums.sum(0) - x) for x in sums])
 
         def tally(batch: pa.RecordBatch) -> np.ndarray:
-            at, y = _bin(_lift(_matrix(batch), mean, scale) @ beta), np.asarray(batch.column("y"))
+            z, y, fold = _lift(_matrix(batch), mean, scale), np.asarray(batch.column("y")), np.asarray(batch.column("fold"))
+            at = _bin((z * unseen[fold]).sum(1))
             return np.concatenate([np.bincount(at, minlength=SCORE_BINS), np.bincount(at, weights=y, minlength=SCORE_BINS)])
 
         counts = _summed(train, tally, 2 * SCORE_BINS)

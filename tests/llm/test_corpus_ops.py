@@ -345,13 +345,48 @@ def test_classifier(spark):
 
 
 def test_isotonic():
+    """Never decreasing, and the least-squares fit among all such curves, by minimax over blocks."""
     from itertools import pairwise
 
     rng = np.random.default_rng(3)
-    total = rng.integers(0, 5, 100).astype(float)
-    good = np.minimum(total, rng.integers(0, 5, 100))
-    curve = quality_classifier.isotonic(total, good)
-    assert len(curve) == 100 and all(a <= b + 0.5 for a, b in pairwise(curve)) and (curve >= 0).all() and (curve <= 1).all()
+    for trial in range(60):
+        total = rng.integers(0, 5, 40).astype(float) * (trial > 0)
+        good = np.minimum(total, rng.integers(0, 5, 40))
+        curve = quality_classifier.isotonic(total, good)
+        assert len(curve) == 40 and all(a <= b for a, b in pairwise(curve)) and (curve >= 0).all() and (curve <= 1).all()
+        p = quality_classifier.PSEUDO
+        g, n = good + p * (good.sum() / total.sum() if total.sum() else 0.5), total + p
+        mean = lambda i, j: g[i : j + 1].sum() / n[i : j + 1].sum()  # noqa: B023, E731
+        want = [max(min(mean(i, j) for j in range(k, 40)) for i in range(k + 1)) for k in range(40)]
+        assert np.allclose(curve, want)
+
+
+def test_classifier_brute_force(spark):
+    """Scores against a fit over all rows at once: least squares on stacked rows, in place of summed equations."""
+    d, q = "/root/testdata/sf0.01", quality_classifier
+    docs = {r["doc_id"]: (r["text"] or "").encode() for r in rows_of(f"{d}/documents.parquet")}
+    labels = {r["doc_id"]: r["quality"] for r in rows_of(f"{d}/labels.parquet")}
+    ids = sorted(k for k in labels if zlib.crc32(str(k).encode()) % 3 != 1)
+    x, y = np.array([q.text_stats(docs[k]) for k in ids]), np.array([labels[k] for k in ids], float)
+    folds = {r[0]: r[1] for r in spark.createDataFrame([(k,) for k in ids], "k long").selectExpr("k", f"pmod(xxhash64(k), {q.FOLDS})").collect()}
+    fold = np.array([folds[k] for k in ids])
+    mean, scale = x.mean(0), np.sqrt(np.maximum(x.var(0), 1e-12)) + 1e-6
+    w = np.where(y > 0.5, len(y) / (2 * y.sum()), len(y) / (2 * (1 - y).sum()))
+
+    def fit(at):
+        z = q._lift(x[at], mean, scale)
+        ridge = np.diag(np.sqrt([q.RIDGE] * q.FEATURES + [1e-6]))
+        root = np.sqrt(w[at])
+        return np.linalg.lstsq(np.concatenate([z * root[:, None], ridge]), np.concatenate([y[at] * root, np.zeros(len(ridge))]), rcond=None)[0]
+
+    raw = np.zeros(len(y))
+    for k in range(q.FOLDS):
+        raw[fold == k] = q._lift(x[fold == k], mean, scale) @ fit(fold != k)
+    curve = q.isotonic(np.bincount(q._bin(raw), minlength=q.SCORE_BINS).astype(float), np.bincount(q._bin(raw), weights=y, minlength=q.SCORE_BINS))
+    beta = fit(y >= 0)
+    out = {r.doc_id: r.score for r in entries.queries()["op10_quality_classifier"](spark, d).collect()}
+    errors = [abs(out[k] - curve[q._bin(q._lift(q.text_stats(t)[None], mean, scale) @ beta)][0]) for k, t in docs.items()]
+    assert len(out) == len(docs) and sum(e > 1e-6 for e in errors) <= 0.01 * len(errors)
 
 
 def test_classifier_odd(spark, odd, empty):
