@@ -31,12 +31,18 @@ def _url_filter(spark: SparkSession, d: str) -> DataFrame:
     pages = table(spark, d, "pages").select("page_id", "url")
     captures = pages.withColumn("fetched_at", F.date_add(F.lit("2024-01-01").cast("date"), F.pmod(F.col("page_id") * 37, F.lit(730)).cast("int")))
     hosts = pages.select(url_filter.host_of(F.col("url")).alias("host")).where("host is not null").distinct()
-    number = lambda a, n: F.conv(F.substring(F.md5(F.col("host").cast("binary")), a, n), 16, 10).cast("long")
-    numbered = hosts.select("host", number(1, 4).alias("h1"), number(5, 4).alias("h2"))
+    domain, host = F.regexp_extract("host", "([^.]+[.][^.]+)$", 1), F.col("host")
+    number = lambda name, a, n: F.conv(F.substring(F.md5(F.col(name).cast("binary")), a, n), 16, 10).cast("long")
+    numbered = hosts.withColumn("domain", domain).select("host", "domain", number("host", 1, 4).alias("h1"), number("host", 5, 4).alias("h2"), number("domain", 1, 4).alias("d1"), number("domain", 5, 4).alias("d2"))
     day = lambda n: F.date_add(F.lit("2024-01-01").cast("date"), n.cast("int"))
     entry = lambda name, pattern, action, at: F.struct(F.lit(name).alias("list_name"), pattern.alias("pattern"), F.lit(action).alias("action"), at.alias("listed_at"))
-    domain, host = F.expr("regexp_extract(host, '([^.]+[.][^.]+)$', 1)"), F.col("host")
-    rows = F.array(entry("hosts", host, "add", day(F.col("h1") % 600)), entry("hosts", host, "remove", day(F.col("h1") % 600 + F.col("h2") % 200)), entry("paths", F.concat(host, F.lit("/en")), "add", day(F.col("h2") % 700)), entry("domains", F.concat(F.lit("sub."), domain), "add", day(F.col("h2") % 365)))
+    # Domains are listed, removed and listed again.
+    first, ended = F.col("d1") % 365, F.col("d1") % 365 + 100 + F.col("d2") % 100
+    rows = F.array(
+        entry("hosts", host, "add", day(F.col("h1") % 600)), entry("hosts", host, "remove", day(F.col("h1") % 600 + F.col("h2") % 200)),
+        entry("paths", F.concat(host, F.lit("/en")), "add", day(F.col("h2") % 700)),
+        *(entry("domains", F.col("domain"), action, day(at)) for action, at in (("add", first), ("remove", ended), ("add", ended + 90))),
+    )
     entries = numbered.select(F.explode(rows).alias("e")).select("e.*")
     out = url_filter.filter_urls(captures, entries)
     return out.select("page_id", F.col("fetched_at").cast("string").alias("fetched_at"), "n_matches", "matched", "blocked")
@@ -47,11 +53,13 @@ with pages2 as (
   select page_id, cast(date '2024-01-01' + cast((page_id * 37) % 730 as integer) as date) fetched_at,
     lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)', 1)) host,
     regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*)', 1) path from pages),
-hosts as (select distinct host, cast(concat('0x', substr(md5(host), 1, 4)) as bigint) h1, cast(concat('0x', substr(md5(host), 5, 4)) as bigint) h2 from pages2),
+hosts as (select distinct host, cast(concat('0x', substr(md5(host), 1, 4)) as bigint) h1, cast(concat('0x', substr(md5(host), 5, 4)) as bigint) h2, regexp_extract(host, '([^.]+[.][^.]+)$', 1) dom from pages2 where host <> ''),
+doms as (select distinct dom, cast(concat('0x', substr(md5(dom), 1, 4)) as bigint) % 365 d1, cast(concat('0x', substr(md5(dom), 5, 4)) as bigint) % 100 + 100 d2 from hosts),
 spans as (
   select 'hosts' list_name, host pattern, cast(date '2024-01-01' + cast(h1 % 600 as integer) as date) a, cast(date '2024-01-01' + cast(h1 % 600 + h2 % 200 as integer) as date) b from hosts where h2 % 200 > 0
   union all select 'paths', host || '/en', cast(date '2024-01-01' + cast(h2 % 700 as integer) as date), null from hosts
-  union all select 'domains', 'sub.' || regexp_extract(host, '([^.]+[.][^.]+)$', 1), min(cast(date '2024-01-01' + cast(h2 % 365 as integer) as date)), null from hosts group by 1, 2),
+  union all select 'domains', dom, cast(date '2024-01-01' + cast(d1 as integer) as date), cast(date '2024-01-01' + cast(d1 + d2 as integer) as date) from doms
+  union all select 'domains', dom, cast(date '2024-01-01' + cast(d1 + d2 + 90 as integer) as date), null from doms),
 hits as (
   select p.page_id, count(*) n, min(s.list_name || ':' || s.pattern) m from pages2 p join spans s
     on (s.pattern = p.host or (s.list_name = 'domains' and ends_with(p.host, '.' || s.pattern)) or (s.list_name = 'paths' and s.pattern = p.host || '/en' and (p.path = '/en' or starts_with(p.path, '/en/'))))

@@ -5,11 +5,11 @@ host with a path prefix, and the action adds or removes it. Entries become valid
 join evaluates each capture against the entries that were active at its fetch time.
 
 The join is an equi-join on pattern: a capture asks for its host with all parent domains and for all its path prefixes, of the depths
-that the list's patterns have; as many patterns as its url has labels and segments, at most. Intervals of a pattern are folded into one
-row first, so a capture meets at most one row for each pattern it asks for. No side is broadcast by hint; a host with a third of the captures only makes
-repeated join keys on the capture side, which are combined with a distinct before the join.
+that the list's patterns have; as many patterns as its url has labels and segments, at most. No side is broadcast by hint; a host with a third of the
+captures only makes repeated join keys on the capture side, which are combined with a distinct before the join. Captures without a url or fetch time take
+no part in any join.
 
-Defined cases: a null url or fetch time matches nothing (blocked false); an entry with a null pattern, action or date is dropped;
+Defined cases: a null url or fetch time matches nothing (blocked false); a null key stays null; an entry with a null pattern, action or date is dropped;
 several entries of a pattern, list and date: a removal wins; repeated captures stay repeated; an empty list blocks nothing.
 """
 
@@ -59,16 +59,17 @@ def validity_intervals(entries: DataFrame) -> DataFrame:
 
 def filter_urls(captures: DataFrame, entries: DataFrame, *, key: str = "page_id", url: str = "url", fetched_at: str = "fetched_at") -> DataFrame:
     """A row for each capture: key, url, fetch time, ``n_matches`` (active entries), ``matched`` (the smallest ``list:pattern``), ``blocked``."""
-    folded = validity_intervals(entries).groupBy("pattern").agg(F.collect_list(F.struct("list_name", "valid_from", "valid_to")).alias("spans"))
-    patterns = capture_patterns(F.col(url), F.col("_labels"), F.col("_segments"))
-    shot = captures.select(F.col(key), F.col(url), F.col(fetched_at)).crossJoin(list_depths(folded)).select(F.col(key), F.col(url), F.col(fetched_at), patterns.alias("_patterns"))
-    # Which patterns occur at all: distinct before the join, so a hot host is one row of a map task.
-    asked = shot.select(F.explode("_patterns").alias("pattern"), F.col(fetched_at).alias("_at")).distinct()
-    active = asked.join(folded, "pattern").select("pattern", "_at", F.explode(F.filter("spans", lambda s: (s.valid_from <= F.col("_at")) & (s.valid_to.isNull() | (s.valid_to > F.col("_at"))))).alias("s"))
-    hits = active.groupBy("pattern", "_at").agg(F.count("*").alias("n"), F.min(F.concat_ws(":", "s.list_name", "pattern")).alias("m"))
+    intervals = validity_intervals(entries)
+    patterns = capture_patterns(F.col("_u"), F.col("_labels"), F.col("_segments"))
+    rows = captures.select(F.col(key).alias("_k"), F.col(url).alias("_u"), F.col(fetched_at).alias("_at"))
+    bare = F.col("_u").isNull() | F.col("_at").isNull()
     # Captures of the same url and time share their matches.
-    pair = shot.select(F.col(url).alias("_u"), F.col(fetched_at).alias("_at"), F.col("_patterns")).dropDuplicates(["_u", "_at"])
-    found = pair.select("_u", "_at", F.explode("_patterns").alias("pattern")).join(hits, ["pattern", "_at"]).groupBy("_u", "_at").agg(F.sum("n").alias("n_matches"), F.min("m").alias("matched"))
-    left = captures.select(F.col(key), F.col(url), F.col(fetched_at))
-    out = left.join(found, (left[url] == found._u) & (left[fetched_at] == found._at), "left")
-    return out.select(left[key], left[url], left[fetched_at], F.coalesce("n_matches", F.lit(0)).cast("long").alias("n_matches"), F.col("matched"), F.col("n_matches").isNotNull().alias("blocked"))
+    pair = rows.where(~bare).select("_u", "_at").distinct().crossJoin(list_depths(intervals)).select("_u", "_at", F.explode(patterns).alias("pattern"))
+    # Which patterns occur at all: distinct before the join, so a hot host is one row of a map task.
+    asked = pair.select("pattern", "_at").distinct()
+    active = asked.join(intervals, "pattern").where((F.col("valid_from") <= F.col("_at")) & (F.col("valid_to").isNull() | (F.col("valid_to") > F.col("_at"))))
+    hits = active.groupBy("pattern", "_at").agg(F.count("*").alias("n"), F.min(F.concat_ws(":", "list_name", "pattern")).alias("m"))
+    found = pair.join(hits, ["pattern", "_at"]).groupBy("_u", "_at").agg(F.sum("n").alias("n_matches"), F.min("m").alias("matched"))
+    out = rows.where(~bare).join(found, ["_u", "_at"], "left").select("_k", "_u", "_at", "n_matches", "matched")
+    out = out.unionByName(rows.where(bare).select("*", F.lit(None).cast("long").alias("n_matches"), F.lit(None).cast("string").alias("matched")))
+    return out.select(F.col("_k").alias(key), F.col("_u").alias(url), F.col("_at").alias(fetched_at), F.coalesce("n_matches", F.lit(0)).cast("long").alias("n_matches"), "matched", F.col("n_matches").isNotNull().alias("blocked"))
