@@ -11,8 +11,9 @@ response; the others are revisit records which refer to it and hold no payload.
 so a task writes as many as its rows need, each with bounded memory. Writers are retried safely: a package is written under a unique
 name and only paths of tasks that succeeded reach the list, which is itself a written table.
 
-Defined cases: a null payload is empty; a null url is the empty string; a null key raises; equal keys each make a record, and if
-their payloads are equal, all with the largest key are responses; an empty table writes no package.
+Defined cases: a null payload is empty; a null url is the empty string; a row without a key is a response, and its key reads back as null; equal keys each
+make a record, and if their payloads are equal, all with the largest key are responses; extra columns are ignored, whatever their names; an empty table
+writes no package.
 """
 
 from __future__ import annotations
@@ -41,12 +42,22 @@ DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 # ---- records ---------------------------------------------------------------------------------------------------------
 
 
-def warc_record(key: int, url: str, payload: bytes, digest: str, refers_to: int | None) -> bytes:
+def record_id(key: int | None) -> str:
+    return f"<urn:record:{'' if key is None else key}>"
+
+
+def key_of(name: str) -> int | None:
+    """The key of a record id; null where the record has none."""
+    key = name.removeprefix("<urn:record:").removesuffix(">")
+    return int(key) if key else None
+
+
+def warc_record(key: int | None, url: str, payload: bytes, digest: str, refers_to: int | None) -> bytes:
     kind = "response" if refers_to is None else "revisit"
-    head = [("WARC-Type", kind), ("WARC-Record-ID", f"<urn:record:{key}>"), ("WARC-Date", "2024-01-01T00:00:00Z"), ("WARC-Target-URI", url.replace("\r", "%0D").replace("\n", "%0A"))]
+    head = [("WARC-Type", kind), ("WARC-Record-ID", record_id(key)), ("WARC-Date", "2024-01-01T00:00:00Z"), ("WARC-Target-URI", url.replace("\r", "%0D").replace("\n", "%0A"))]
     head += [("WARC-Payload-Digest", f"sha1:{digest}"), ("WARC-Payload-Length", str(len(payload)))]
     if refers_to is not None:
-        head += [("WARC-Refers-To", f"<urn:record:{refers_to}>"), ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")]
+        head += [("WARC-Refers-To", record_id(refers_to)), ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")]
     body = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n" + (payload if refers_to is None else b"")
     head += [("Content-Type", "application/http; msgtype=response"), ("Content-Length", str(len(body)))]
     return b"WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in head).encode() + b"\r\n" + body + b"\r\n\r\n"
@@ -196,13 +207,12 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for n in lengths:
                 head, payload = parse_record(gzip.decompress(data[p : p + n]))
                 p += n
-                named = lambda x: int(x.removeprefix("<urn:record:").removesuffix(">"))
                 revisit = head["warc-type"] == "revisit"
                 digest = head["warc-payload-digest"].removeprefix("sha1:")
                 if not revisit and hashlib.sha1(payload).hexdigest() != digest:
                     raise ValueError(f"{path}: payload digest of {head['warc-record-id']} differs")
                 size = int(head["warc-payload-length"]) if revisit else len(payload)
-                rows.append((named(head["warc-record-id"]), head["warc-target-uri"], size, digest, head["warc-type"], named(head["warc-refers-to"]) if revisit else None, None if revisit else payload.decode()))
+                rows.append((key_of(head["warc-record-id"]), head["warc-target-uri"], size, digest, head["warc-type"], key_of(head["warc-refers-to"]) if revisit else None, None if revisit else payload.decode()))
             names = ["key", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload"]
             kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string()]
             yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
@@ -212,8 +222,10 @@ def write_packages(pages: DataFrame, folder: str, *, key: str = "page_id", url:
     """Writes a record for each row; the lazy result lists the packages: ``(path, size)``. Save it before reading it twice."""
     rows = pages.select(F.col(key).cast("long").alias("key"), F.col(url).alias("url"), F.coalesce(F.col(payload), F.lit("")).alias("payload")).withColumn("digest", F.sha1(F.col("payload").cast("binary")))
     # Only digests of several records matter; the count combines before its shuffle, so a payload with a third of the rows is a row a task.
-    large = rows.where(F.octet_length("payload") >= MIN_REVISIT).groupBy("digest").agg(F.max("key").alias("main"), F.count("*").alias("n")).where("n > 1").drop("n")
-    decided = rows.join(large, "digest", "left").withColumn("refers_to", F.when(F.col("main") != F.col("key"), F.col("main")))
+    large = rows.where(F.octet_length("payload") >= MIN_REVISIT).groupBy("digest").agg(F.max("key").alias("main"), F.count("*").alias("n")).where("n > 1").select(F.col("digest").alias("_same"), "main")
+    # Small payloads, of which many may be equal, are dealt out by their keys.
+    same = F.when(F.octet_length("payload") >= MIN_REVISIT, F.col("digest")).otherwise(F.concat(F.lit("~"), F.coalesce(F.col("key").cast("string"), F.col("url"), F.lit(""))))
+    decided = rows.withColumn("_by", same).join(large, F.col("_by") == F.col("_same"), "left").withColumn("refers_to", F.when(F.col("main") != F.col("key"), F.col("main")))
     return decided.select("key", "url", "payload", "digest", "refers_to").mapInArrow(_write(folder), "path string, size long")
 
 
