@@ -11,7 +11,9 @@ begins, and the sign itself is doubled. In a role a line feed is escaped too. Th
 formatted string: the escaped texts of the assistant's turns.
 
 Defined cases: a null text or role is empty; ties of a turn number are ordered by role and text; repeated rows are repeated turns; a
-conversation of no rows doesn't occur; a record whose fingerprint has no mapping raises, naming the paths; extra columns are ignored.
+conversation of no rows doesn't occur; rows without a conversation id belong to none and are left out. A record that can't be read (no JSON, a layout
+without a mapping, a field that some turn lacks, a text that is no string) is set apart: its formatted string is null and ``error`` says why, naming the
+paths; the other records are not affected, and ``digests`` leaves it out. Extra columns are ignored.
 A conversation is one record, so it is formatted in one task; many equal conversations are spread by their ids.
 """
 
@@ -69,12 +71,19 @@ def canonical_turns(record: Any, mappings: dict[str, dict[str, Any]]) -> list[tu
     if m is None:
         raise ValueError(f"no mapping for the layout {sorted(paths)}")
     if "fields" in m:
-        return [(role, record[field] or "") for field, role in m["fields"]]
-    path, role, text = m["turns"]
-    for key in path.split("."):
-        record = record[key]
-    roles = m.get("roles", {})
-    return [(roles.get(x[role], x[role]) or "", x[text] or "") for x in record]
+        turns = [(role, record[field]) for field, role in m["fields"]]
+    else:
+        path, role, text = m["turns"]
+        for key in path.split("."):
+            record = record[key]
+        if not all(isinstance(x, dict) and role in x and text in x for x in record):
+            raise ValueError(f"a turn of {path} has no {role} or {text}")
+        roles = m.get("roles", {})
+        turns = [(roles.get(x[role], x[role]) if isinstance(x[role], str) else x[role], x[text]) for x in record]
+    for turn in turns:
+        if not all(x is None or isinstance(x, str) for x in turn):
+            raise ValueError("a role or text is no string")
+    return [(role or "", text or "") for role, text in turns]
 
 
 def escape(text: str, role: bool = False) -> str:
@@ -142,24 +151,33 @@ def gather_records(rows: DataFrame) -> DataFrame:
 
 
 def _format(mappings: dict[str, dict[str, Any]]):
+    def formatted(record: str | None) -> tuple[str | None, list[list[int]] | None, str | None]:
+        try:
+            text, spans = format_turns(canonical_turns(json.loads(record or ""), mappings))
+        except (ValueError, RecursionError) as e:
+            return None, None, str(e) or type(e).__name__
+        return text, [list(s) for s in spans], None
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            done = [format_turns(canonical_turns(json.loads(x), mappings)) for x in batch.column("record").to_pylist()]
-            spans = pa.array([[list(s) for s in x] for _, x in done], pa.list_(pa.list_(pa.int64())))
-            yield pa.record_batch([batch.column("conv_id"), pa.array([x for x, _ in done], pa.string()), spans], names=["conv_id", "formatted", "loss_spans"])
+            done = [formatted(x) for x in batch.column("record").to_pylist()]
+            columns = [pa.array([x[k] for x in done], t) for k, t in enumerate((pa.string(), pa.list_(pa.list_(pa.int64())), pa.string()))]
+            yield pa.record_batch([batch.column("conv_id"), *columns], names=["conv_id", "formatted", "loss_spans", "error"])
 
     return run
 
 
 def format_records(records: DataFrame, mappings: list[dict[str, Any]] = MAPPINGS) -> DataFrame:
-    """``(conv_id, formatted, loss_spans)`` from ``(conv_id, record)``."""
-    return records.mapInArrow(_format(registry(mappings)), "conv_id long, formatted string, loss_spans array<array<bigint>>")
+    """``(conv_id, formatted, loss_spans, error)`` from ``(conv_id, record)``; ``error`` is null but for records that can't be read."""
+    return records.select("conv_id", "record").mapInArrow(_format(registry(mappings)), "conv_id long, formatted string, loss_spans array<array<bigint>>, error string")
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
         for conv, text, spans in zip(*(batch.column(k).to_pylist() for k in ("conv_id", "formatted", "loss_spans")), strict=True):
+            if text is None:
+                continue
             turns = parse_formatted(text)
             loss = "".join(unescape(text[a:b]) for a, b in spans)
             rows.append((conv, len(turns), hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in turns).encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest(), len(text)))
