@@ -15,7 +15,8 @@ All arithmetic is on integers, so the result doesn't depend on partitioning.
 
 Defined cases: a null or empty text has no tokens, and is taken if its place in the prefix is; a null source or language is a
 leaf of its own; ties of the hash are broken by doc_id; repeated rows of a document are rows each; weights that aren't given are
-``default_weight``; a weight of 0 gets nothing; an empty table gives an empty result.
+``default_weight``; a weight of 0 gets nothing, and weights are at most 10**9; rows without an id are taken or left together, as one id, by ``mixed_documents``;
+an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -55,12 +56,14 @@ def allocate(leaves: DataFrame, budget: Column, weights: dict[str, dict[str, int
         nodes = out.groupBy(*here).agg(F.sum("capacity").alias("c"), F.first("_budget").alias("b")).withColumn("w", _weight(level, weights, default_weight))
         by = Window.partitionBy(*(F.coalesce(F.col(x), F.lit("\0")) for x in above)) if above else Window.partitionBy(F.lit(0))
         # Children in order of capacity per weight: each is full, or gets its share of what the ones before it have left.
-        rank = by.orderBy(F.when(F.col("w") > 0, F.col("c").cast("double") / F.col("w")).otherwise(F.lit(float("inf"))), F.col(level))
+        # The ratio as a whole number and 18 places, which tells fractions of denominators up to 10**9 apart.
+        nodes = nodes.withColumn("_ratio", F.expr("case when w > 0 then named_struct('a', c div w, 'b', cast(c % w as decimal(38,0)) * 1000000000000000000 div w) end"))
+        rank = by.orderBy(F.col("_ratio").asc_nulls_last(), F.col(level))
         before = rank.rowsBetween(Window.unboundedPreceding, -1)
         nodes = nodes.withColumn("_left", F.col("b") - F.coalesce(F.sum("c").over(before), F.lit(0))).withColumn("_w", F.sum("w").over(by) - F.coalesce(F.sum("w").over(before), F.lit(0)))
         full = F.expr("w > 0 and cast(c as decimal(38,0)) * _w <= cast(_left as decimal(38,0)) * w")
         # The first child that isn't full fixes the level for all after it.
-        nodes = nodes.withColumn("_full", full).withColumn("_stop", F.min(F.when(~F.col("_full") & (F.col("w") > 0), F.struct(F.col("c").cast("double") / F.nullif(F.col("w"), F.lit(0)), F.col(level), "_left", "_w"))).over(by))
+        nodes = nodes.withColumn("_full", full).withColumn("_stop", F.min(F.when(~F.col("_full") & (F.col("w") > 0), F.struct("_ratio", F.col(level), "_left", "_w"))).over(by))
         share = F.expr("case when _full then c when w = 0 then 0 else least(c, cast(cast(greatest(_stop._left, 0) as decimal(38,0)) * w div _stop._w as bigint)) end")
         shared = nodes.select(*(F.col(x).alias(f"_{x}") for x in here), share.alias("_next"))
         same = [F.col(x).eqNullSafe(F.col(f"_{x}")) for x in here]
@@ -101,4 +104,4 @@ def mix(spark: SparkSession, docs: DataFrame, *, share_permille: int, weights: d
 def mixed_documents(spark: SparkSession, docs: DataFrame, **options) -> DataFrame:
     """The documents that a mix takes in at least one epoch, with all their columns."""
     taken = mix(spark, docs, **options).select(F.col("doc_id").alias("_taken"))
-    return docs.join(taken, docs.doc_id == taken._taken, "left_semi")
+    return docs.join(taken, docs.doc_id.cast("long").eqNullSafe(taken._taken), "left_semi")
