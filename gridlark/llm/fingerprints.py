@@ -11,7 +11,8 @@ The hashes of a text are sorted within its row, with a sentinel at the start of
 sentinel. There is no explode, so nothing is shuffled for fingerprints, and a row's cost is n log n in its words.
 
 Defined cases: a null text is empty; a text without words has an empty fingerprint, of likeness 1 to its equals and 0 to others; equal
-texts have equal fingerprints; repeated ids are ordered by text; a table of one row has itself as its next; extra columns are ignored.
+texts have equal fingerprints; repeated ids are ordered by text; a table of one row has itself as its next; rows without an id have no place in the
+order and are left out; extra columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -26,7 +27,8 @@ N = 5
 K = 128
 BITS = 8
 PROBES = 12  # probes written out, with an early end; the rest of the order is searched by a filter
-STRIDE = 1024  # ids of a bucket in the search for the next document
+PARTS = 64  # ranges of about as many ids each, by approximate quantiles
+STRIDE = 1024  # documents of a bucket, about, in the search for the next one
 _SHIFT = 63 - (K.bit_length() - 1)  # hashes are cut to 63 bits, so they sort as unsigned
 
 
@@ -101,16 +103,32 @@ def edited_text(text: Column, after: Column) -> Column:
     return F.concat(F.substring(text, F.lit(1), F.length(text) - half), F.substring(after, F.lit(1), half))
 
 
+def id_buckets(rows: DataFrame) -> tuple[Column, Column]:
+    """Part and bucket of a ``doc_id``, both in order of ids, such that a bucket has about ``STRIDE`` ids however dense they are.
+
+    Quantiles cut the ids into ``PARTS`` parts; the range and number of ids of a part give the width of its buckets, a power of two. What reaches the
+    driver are three numbers a part.
+    """
+    cuts = rows.agg(F.percentile_approx("doc_id", [k / PARTS for k in range(1, PARTS)], F.lit(10_000))).first()[0] or []
+    part = F.size(F.filter(F.array(*(F.lit(x).cast("long") for x in sorted({*cuts}))), lambda x: x <= F.col("doc_id")))
+    seen = {r.part: r for r in rows.groupBy(part.alias("part")).agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count("*").alias("n")).collect()}
+    shift = {k: max(0, ((r.hi - r.lo + 1) * STRIDE // r.n).bit_length() - 1) for k, r in seen.items()}
+    width = F.get(F.array(*(F.lit(min(shift.get(k, 0), 63)) for k in range(PARTS + 1))), part)
+    return part, F.call_function("shiftright", F.col("doc_id"), width)
+
+
 def fingerprint_pairs(docs: DataFrame) -> DataFrame:
     """Fingerprints of each document, of its text edited with the next document's, and the likenesses.
 
-    Documents are dealt out by ranges of ids; a window finds the next one within a range. The last of a range (one in
-    ``STRIDE``) takes the first of the next range that isn't empty. Both read the same shuffle of texts.
+    Documents are dealt out by buckets of ids; a window finds the next one within a bucket. The last of a bucket (one in
+    some ``STRIDE``) takes the first of the next bucket that isn't empty, which a window over the buckets of a part finds, and one over the parts for the
+    last bucket of each. All branches read the same shuffle of texts. Rows of one id are in one task.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text")).where("doc_id is not null")
-    # The filter that the join of the ranges would add is written out, so that all branches read one and the same shuffle.
-    rows = rows.withColumn("bucket", F.shiftright("doc_id", STRIDE.bit_length() - 1)).where("bucket is not null")
-    w = Window.partitionBy("bucket").orderBy("doc_id", "text")
+    part, bucket = id_buckets(rows)
+    # The filter that the join of the buckets would add is written out, so that all branches read one and the same shuffle.
+    rows = rows.withColumn("part", part).withColumn("bucket", bucket).where("part is not null and bucket is not null")
+    w = Window.partitionBy("part", "bucket").orderBy("doc_id", "text")
     seen = rows.withColumn("after", F.lead("text").over(w)).withColumn("first", F.row_number().over(w) == 1)
 
     def finished(x: DataFrame) -> DataFrame:
@@ -127,9 +145,13 @@ def fingerprint_pairs(docs: DataFrame) -> DataFrame:
 
     printed = seen.withColumn("bins", fingerprint_bins(F.col("text"))).withColumn("after_bins", F.lead("bins").over(w))
     inner = finished(printed.where("after is not null"))
-    ranges = rows.groupBy("bucket").agg(F.count("*").alias("n"))
-    order = Window.orderBy("bucket")
-    ranges = ranges.select("bucket", F.coalesce(F.lead("bucket").over(order), F.first("bucket").over(order)).alias("after_bucket"))
-    firsts = seen.where("first").select(F.col("bucket").alias("after_bucket"), F.col("text").alias("after"), fingerprint_bins(F.col("text")).alias("after_bins"))
-    lasts = seen.where("after is null").select("doc_id", "text", "bucket", fingerprint_bins(F.col("text")).alias("bins"))
-    return inner.union(finished(lasts.join(ranges, "bucket").join(firsts, "after_bucket")))
+    buckets = rows.groupBy("part", "bucket").agg(F.count("*").alias("n"))
+    order = Window.orderBy("part")  # over a row for each part
+    heads = buckets.groupBy("part").agg(F.min("bucket").alias("head"))
+    heads = heads.select("part", F.coalesce(F.lead(F.struct("part", "head")).over(order), F.first(F.struct("part", "head")).over(order)).alias("next"))
+    following = F.lead("bucket").over(Window.partitionBy("part").orderBy("bucket"))
+    ranges = buckets.withColumn("after_bucket", following).join(heads, "part")
+    ranges = ranges.select("part", "bucket", F.when(F.col("after_bucket").isNull(), F.col("next.part")).otherwise(F.col("part")).alias("after_part"), F.coalesce("after_bucket", F.col("next.head")).alias("after_bucket"))
+    firsts = seen.where("first").select(F.col("part").alias("after_part"), F.col("bucket").alias("after_bucket"), F.col("text").alias("after"), fingerprint_bins(F.col("text")).alias("after_bins"))
+    lasts = seen.where("after is null").select("doc_id", "text", "part", "bucket", fingerprint_bins(F.col("text")).alias("bins"))
+    return inner.union(finished(lasts.join(ranges, ["part", "bucket"]).join(firsts, ["after_part", "after_bucket"])))
