@@ -81,6 +81,39 @@ def test_mixing(spark, permille, epochs):
     assert len({r.doc_id for r in out}) == len(out) and all(sizes[r.doc_id] == r.n_tokens for r in out)
 
 
+def test_mixing_prefix(spark):
+    """The documents taken once more than the rest are the prefix, in the order of the seeded hash, that reaches the budget."""
+    from pyspark.sql import functions as F
+
+    docs = rows_of(f"{SMALL}/documents.parquet")
+    tokens, budget = brute_mix(docs, 1400, entries.WEIGHTS, 4)
+    out = mixing.mix(spark, spark.read.parquet(f"{SMALL}/documents.parquet"), share_permille=1400, weights=entries.WEIGHTS, seed=17, max_epochs=4)
+    copies = {r.doc_id: r.copies for r in out.collect()}
+    leaves = {}
+    for d in docs:
+        n = re.search(r"([0-9]+)$", d["source"] or "")
+        leaves.setdefault(("other" if not n else "even" if int(n[1]) % 2 == 0 else "odd", d["lang"], d["source"]), []).append((d["doc_id"], len(WORD.findall(d["text"] or ""))))
+    pairs = {(leaf, min(budget[leaf] // tokens[leaf], 4)) for leaf in leaves if tokens[leaf]}
+    ask = [(d, w) for leaf, w in pairs for d, _ in leaves[leaf]]
+    order = {r[0]: r[1] for r in spark.createDataFrame(ask, "d long, w int").select("d", F.xxhash64(F.lit(17), "w", "d")).collect()}
+    for leaf, whole in pairs:
+        rest = budget[leaf] - whole * tokens[leaf]
+        for d, n in sorted(leaves[leaf], key=lambda x: (order[x[0]] % 2**64 >> 52, order[x[0]], x[0])):
+            assert copies.get(d, 0) == whole + (rest > 0)
+            rest -= n
+
+
+def test_allocation_of_large_budgets(spark):
+    """Capacities beyond 2**53 whose ratios to weights differ by one in the last place are shared exactly."""
+    big = 2**60
+    rows = [("d", "l", "s1", big + 1), ("d", "l", "s2", big), ("d", "l", "s3", big * 3), ("d", "l", "s4", 5)]
+    from pyspark.sql import functions as F
+
+    out = mixing.allocate(spark.createDataFrame(rows, "domain string, lang string, source string, capacity long"), F.lit(big * 2 + 7).cast("long"), {"source": {"s3": 3}})
+    want = water_fill(big * 2 + 7, {r[2]: (r[3], 3 if r[2] == "s3" else 1) for r in rows})
+    assert {r.source: r.budget for r in out.collect()} == want
+
+
 def test_mixing_odd(spark, odd, empty):
     out = mixing.mix(spark, odd, share_permille=1000, weights={}, seed=1).collect()
     assert sum(r.n_tokens for r in out) == sum(len(WORD.findall(r.text or "")) for r in odd.collect())
@@ -133,6 +166,20 @@ def test_fingerprint_ranges(spark):
         assert out[doc_id].near_next == pytest.approx(jaccard(text, after), abs=0.35)
 
 
+@pytest.mark.parametrize("ids", ["dense", "hashes", "clustered", "repeated"])
+def test_fingerprint_order(spark, ids):
+    """The next document is found whatever the density of ids, and with rows of one id."""
+    import random
+
+    rng = random.Random(3)
+    made = {"dense": range(3000), "hashes": [rng.randrange(-(2**63), 2**63) for _ in range(300)], "clustered": [*range(10**6, 10**6 + 300), -(2**63), 2**63 - 1, 5], "repeated": [k // 7 for k in range(200)]}[ids]
+    docs = sorted((k, f"t{i % 5} of {k} " * (i % 3)) for i, k in enumerate(made))
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5).selectExpr("*", "1 as part", "2 as bucket", "'x' as after")
+    out = sorted((r.doc_id, r.n_chars, r.edited_sha256) for r in fingerprints.fingerprint_pairs(df).collect())
+    want = [(k, len(t), hashlib.sha256((t[: len(t) - len(t) // 2] + after[: len(t) // 2]).encode()).hexdigest()) for (k, t), (_, after) in zip(docs, docs[1:] + docs[:1], strict=True)]
+    assert out == sorted(want)
+
+
 def test_densified_likeness(spark):
     """Short texts, whose bins are mostly empty, are estimated without bias."""
     pairs = [(" ".join(f"a{k}x{i}" for i in range(14)), " ".join([f"a{k}x{i}" for i in range(11)] + [f"b{k}x{i}" for i in range(3)])) for k in range(60)]

@@ -254,6 +254,38 @@ def test_chat_odd(spark):
     assert chat.digests(chat.format_records(chat.gather_records(df.limit(0)))).count() == 0
 
 
+def test_chat_unreadable(spark):
+    """Records that can't be read are set apart and stop no others; layouts may hold names of other columns."""
+    import json
+
+    good = {"messages": [{"role": "user", "content": "u"}, {"role": None, "content": None}]}
+    bad = [
+        {"messages": [{"role": "user", "content": "u", "name": "x"}]},
+        {"messages": [{"role": "user", "content": ["u"]}]},
+        {"messages": [{"role": "user", "content": "u"}, {"role": "assistant"}]},
+        {"messages": [{"role": "user", "content": "u"}, "text"]},
+        {"prompt": 1, "completion": "b"},
+        {"messages": None},
+        [],
+    ]
+    rows = [(0, json.dumps(good), "a")] + [(k, json.dumps(x), "b") for k, x in enumerate(bad, 1)] + [(20, "{", "c"), (21, "", "c"), (22, None, "d"), (23, json.dumps(good), "e")]
+    df = spark.createDataFrame(rows, "conv_id long, record string, formatted string")
+    out = {r.conv_id: r for r in chat.format_records(df).collect()}
+    assert len(out) == len(rows)
+    for k, r in out.items():
+        assert (r.error is None) == (k in (0, 23)) == (r.formatted is not None)
+    assert "messages[].name" in out[1].error and chat.parse_formatted(out[0].formatted) == [("user", "u"), ("", "")]
+    assert {r.conv_id: r.n_turns for r in chat.digests(chat.format_records(df)).collect()} == {0: 2, 23: 2}
+
+
+def test_chat_clash_and_long(spark):
+    long = "</s>" * 300_000
+    rows = [(1, 0, "user", "a", "x", "r"), (1, 1, "assistant", long, "y", "s"), (2, 0, "user", "b", None, None)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, formatted string, record string")
+    out = {r.conv_id: r for r in chat.digests(chat.format_records(chat.gather_records(df))).collect()}
+    assert out[1].loss_chars == len(long) and out[1].loss_sha256 == hashlib.sha256(long.encode()).hexdigest() and out[2].n_turns == 1
+
+
 # ---- WARC packages
 
 
@@ -273,6 +305,16 @@ def test_warc_duplicates(spark):
     assert warc_zip.round_trip(spark, df.limit(0)).count() == 0
 
 
+def test_warc_odd(spark):
+    """Rows without a key, a very long payload, and columns that are named as the operator's own."""
+    big, long = "b" * 2000, "xy" * 20_000_000
+    rows = [(None, None, big, "d"), (3, "u", big, "d"), (4, "u", big, "d"), (None, "v", "s", None), (None, "v", "s", None), (7, "w", long, "d")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, digest string").withColumnRenamed("digest", "payload").selectExpr("*", "payload as key_", "payload as digest", "payload as main", "payload as _by")
+    out = warc_zip.round_trip(spark, df).collect()
+    assert sorted(((r.key, r.record_type, r.refers_to, r.payload_bytes) for r in out), key=str) == sorted([(None, "response", None, 2000), (3, "revisit", 4, 2000), (4, "response", None, 2000), (None, "response", None, 1), (None, "response", None, 1), (7, "response", None, len(long))], key=str)
+    assert next(r.payload_digest for r in out if r.key == 7) == hashlib.sha1(long.encode()).hexdigest()
+
+
 @pytest.mark.parametrize("zip64", [False, True])
 def test_zip_directory(zip64):
     import io
@@ -338,3 +380,19 @@ def test_url_hot_domains(spark):
         want[k] = (len(found), min(found, default=None), bool(found))
     assert sum(n for n, _, _ in want.values()) > len(pages) / 3
     assert {r.page_id: (r.n_matches, r.matched, r.blocked) for r in url_filter.filter_urls(df, entries_).collect()} == want
+
+
+def test_url_odd(spark):
+    """Repeated captures, rows without key, url or time, and columns that are named as the operator's own."""
+    rows = [(1, "http://a.com/x", 5, "p"), (1, "http://a.com/x", 5, "p"), (None, "http://a.com/x", 5, None), (2, None, 5, "p"), (3, "http://a.com/x", None, "p"), (None, None, None, None), (4, "http://a.com/" + "y/" * 100_000, 5, "q")]
+    shots = spark.createDataFrame(rows, "page_id long, url string, fetched_at long, pattern string").selectExpr("*", "pattern as matched", "pattern as _u", "pattern as valid_from")
+    entries_ = spark.createDataFrame([("l", "a.com", "add", 1, "x")], "list_name string, pattern string, action string, listed_at long, url string")
+    out = url_filter.filter_urls(shots, entries_)
+    assert out.columns == ["page_id", "url", "fetched_at", "n_matches", "matched", "blocked"]
+    assert sorted(((r.page_id, r.n_matches, r.blocked) for r in out.collect()), key=str) == sorted([(1, 1, True), (1, 1, True), (None, 1, True), (2, 0, False), (3, 0, False), (None, 0, False), (4, 1, True)], key=str)
+
+
+def test_url_query_meets_domains(spark):
+    """The query's list holds real domains, below which a third of the captures lie."""
+    out = entries.queries()["op2_url_filter"](spark, "/root/testdata/sf0.01").collect()
+    assert sum((r.matched or "").startswith("domains:") for r in out) > len(out) / 10
