@@ -172,20 +172,53 @@ def hard_texts():
     return ["".join(rng.choice(alphabet) for _ in range(rng.choice([1, 5, 300, 3000]))) for _ in range(60)] + ["x" * 9000, " " * 9000, "a b " * 3000, "<|endoftext|> " * 2000]
 
 
-def test_bpe_against_library():
+@pytest.mark.parametrize("engine", ["auto", "tokenizers"])
+def test_bpe_against_library(engine):
+    """Whole texts, every one of which goes through cuts, with repaired joins; some windows grow, some over several chunks."""
     texts = hard_texts()
-    coder = bpe.Codec(entries.tokenizer_path())
-    for text, (ids, decoded) in zip(texts * 2, library(texts) * 2, strict=True):
+    coder = bpe.Codec(entries.tokenizer_path(), engine=engine)
+    want = library(texts)
+    for text, (ids, decoded) in zip(texts * 2, want * 2, strict=True):
         mine = coder.encode(text)
         assert mine.tolist() == ids
         assert coder.decode(mine) == decoded
-    assert coder.hits
-    small = bpe.Codec(entries.tokenizer_path(), cache_chars=2000)
-    for text, (ids, _) in zip(texts, library(texts), strict=True):
+    assert coder.hits and coder.regrown > 5
+    small = bpe.Codec(entries.tokenizer_path(), cache_bytes=2000, engine=engine)
+    for text, (ids, _) in zip(texts, want, strict=True):
         assert small.encode(text).tolist() == ids
     assert small.held <= 2000
 
 
+def test_bpe_fine_cuts(monkeypatch):
+    """Cuts every few bytes: most joins fall within words, special tokens and runs of blanks, and windows grow; the ids are the library's."""
+    coder = bpe.Codec(entries.tokenizer_path())
+    docs = hard_texts() + [r["text"] or "" for r in rows_of(f"{SMALL}/documents.parquet")][:60]
+    for bits in (3, 5):
+        monkeypatch.setattr(bpe, "CHUNK_BITS", bits)
+        for text, (ids, _) in zip(docs, library(docs), strict=True):
+            assert coder.encode(text).tolist() == ids
+    assert coder.regrown > 100
+
+
+def test_bpe_engines_agree():
+    """Characters of all planes, alone, in words, after blanks and in runs."""
+    auto, slow = bpe.Codec(entries.tokenizer_path()), bpe.Codec(entries.tokenizer_path(), engine="tokenizers")
+    points = [i for i in [*range(0x3400), *range(0x3400, 0x110000, 97)] if not 0xD800 <= i < 0xE000]
+    for lo in range(0, len(points), 50):
+        text = "\n".join(f"a{chr(i)}1 {chr(i)}{chr(i)} b {chr(i)}" for i in points[lo : lo + 50]).encode()
+        assert auto.library(text) == slow.library(text)
+
+
+def test_bpe_reuse():
+    """Passages that documents share are encoded once, wherever they stand."""
+    rng = random.Random(1)
+    shared = " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 9))) for _ in range(6000))
+    coder = bpe.Codec(entries.tokenizer_path())
+    first = len(coder.encode(f"head {shared}")) and len(coder.cache)
+    coder.encode(f"another, longer beginning of it {shared} and tail")
+    assert first > 10 and len(coder.cache) - first <= 3 and coder.hits >= first - 2
+
+
 def test_bpe_query(spark):
     import numpy as np
 
