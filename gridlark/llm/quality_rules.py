@@ -178,7 +178,7 @@ def kept_documents(spark: SparkSession, docs: DataFrame) -> DataFrame:
 #: The same rules as DuckDB SQL. Quartiles are those of the sketches: values count as the floor of their bucket.
 ORACLE_SQL = r"""
 with d as (select row_number() over () r, doc_id, lang, source, coalesce(text, '') t from documents),
-w as (select r, doc_id, lang, source, t, regexp_extract_all(t, '[^ 	-]+') ws, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ 	-]')) ls from d),
+w as (select r, doc_id, lang, source, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') ws, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) ls from d),
 win as (select r, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] s from (select r, ws, unnest(range(1, len(ws) - 1)) i from w where len(ws) > 3)),
 twice as (select r, i from (select r, i, count(*) over (partition by r, s) c from win) where c > 1),
 rep as (select r, count(distinct i + k) n from twice, (values (0), (1), (2)) v(k) group by r),
