@@ -27,8 +27,7 @@ def analyze_one(path: str, **given) -> list[tuple[str, str]]:
 
 def analyze_many(path: str, **given) -> list[tuple[str, str, str, str]]:
     """The columns of a file's sheets; a file for which no pattern applies has none."""
-    _, tables = analyzed(path, parse_options(**given), False)
-    return [(path, t.sheet, name, kind) for t in tables for name, kind in t.columns]
+    return [(path, t.sheet, name, kind) for t, _ in analyzed(path, parse_options(**given), False) for name, kind in t.columns]
 
 
 def _rows(plan: Plan, multi: bool) -> Iterator[tuple]:

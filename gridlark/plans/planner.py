@@ -91,13 +91,14 @@ def _unique(columns: tuple[tuple[str, str], ...]) -> tuple[tuple[str, str], ...]
     return tuple(out)
 
 
-def _split(book, task: Task, options: Options) -> list[Task]:
-    size = book.part_size(task.sheet)
-    if not book.splittable or options.end_at_empty_row or size < 2 * options.split_bytes or not book.has_row_numbers(task.sheet):
-        return [task]
+def _cuts(book, sheet: str, options: Options) -> list[tuple[int, int | None]]:
+    """The byte ranges that a sheet's part is read in."""
+    size = book.part_size(sheet)
+    if not book.splittable or options.end_at_empty_row or size < 2 * options.split_bytes or not book.has_row_numbers(sheet):
+        return [(0, None)]
     n = size // options.split_bytes
-    cuts = [size * k // n for k in range(n)]
-    return [Task(**{**task.__dict__, "part": (lo, hi)}) for lo, hi in zip(cuts, [*cuts[1:], None], strict=True)]
+    at = [size * k // n for k in range(n)]
+    return list(zip(at, [*at[1:], None], strict=True))
 
 
 def plan_single(path: str, options: Options, *, tasks: bool = True) -> Plan:
@@ -107,30 +108,36 @@ def plan_single(path: str, options: Options, *, tasks: bool = True) -> Plan:
         table = analyze(book, names[0], options) if names else None
         if table is None:
             raise SheetError(f"Spreadsheet '{path}': no sheets matched wildcard '{(options.sheets or ('*',))[0]}'")
-        task = Task(path, table.sheet, table.first_row, options.range.row_hi, tuple(range(table.col_lo, table.col_hi + 1)), table.col_lo, table.col_hi)
-        return Plan(_unique(table.columns), tuple(_split(book, task, options)) if tasks else (), options)
+        places = tuple(range(table.col_lo, table.col_hi + 1))
+        cuts = _cuts(book, table.sheet, options) if tasks else []
+        return Plan(_unique(table.columns), tuple(Task(path, table.sheet, table.first_row, options.range.row_hi, places, table.col_lo, table.col_hi, cut) for cut in cuts), options)
     except SheetError as e:
         raise prefixed(path, e) from e
+    finally:
+        book.close()
 
 
-def analyzed(path: str, options: Options, none_means_all: bool) -> tuple[object, list[Table]]:
+def analyzed(path: str, options: Options, none_means_all: bool, tasks: bool = False) -> list[tuple[Table, list[tuple[int, int | None]]]]:
+    """The analysed sheets of a workbook, with the byte ranges to read if ``tasks``. The workbook is closed again."""
     book = opened(path)
     patterns = globs.sheet_globs(options.sheets, path)
     if patterns == [] and none_means_all:
         patterns = None
     try:
-        return book, [t for s in chosen(book, patterns) if (t := analyze(book, s, options)) is not None]
+        tables = [t for s in chosen(book, patterns) if (t := analyze(book, s, options)) is not None]
+        return [(t, _cuts(book, t.sheet, options) if tasks else []) for t in tables]
     except SheetError as e:
         raise prefixed(path, e) from e
+    finally:
+        book.close()
 
 
 def plan_multi(paths: list[str], options: Options, *, tasks: bool = True) -> Plan:
     columns: dict[str, str] = {}
-    scans: list[tuple[object, str, Table, dict[str, int]]] = []
+    scans: list[tuple[str, Table, dict[str, int], list[tuple[int, int | None]]]] = []
     first: tuple[Table, dict[str, int]] | None = None
     for path in globs.expand(paths):
-        book, tables = analyzed(path, options, True)
-        for table in tables:
+        for table, cuts in analyzed(path, options, True, tasks):
             places: dict[str, int] = {}
             if options.union_by_name or first is None:
                 for k, (name, kind) in enumerate(table.columns):
@@ -139,12 +146,12 @@ def plan_multi(paths: list[str], options: Options, *, tasks: bool = True) -> Pla
                         raise SheetError(f"[{path}]{table.sheet}!{name}: expected {shown[0]}, actual {shown[1]}")
                     places[name] = table.col_lo + k
             first = first or (table, places)
-            scans.append((book, path, table, places))
+            scans.append((path, table, places, cuts))
     if first is None:
         raise SheetError(NO_SHEETS)
     out: list[Task] = []
-    for book, path, table, places in scans if tasks else []:
+    for path, table, places, cuts in scans:
         shape, used = (table, places) if options.union_by_name else first
-        task = Task(path, table.sheet, shape.first_row, options.range.row_hi, tuple(used.get(n) for n in columns), shape.col_lo, shape.col_hi)
-        out += _split(book, task, options)
+        where = tuple(used.get(n) for n in columns)
+        out += [Task(path, table.sheet, shape.first_row, options.range.row_hi, where, shape.col_lo, shape.col_hi, cut) for cut in cuts]
     return Plan(tuple(columns.items()), tuple(out), options)

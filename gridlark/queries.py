@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from gridlark import api
-from gridlark.sources.writers import Raw, write_book
+from gridlark.model import SheetError
+from gridlark.sources.writers import Raw, write_book, write_ods_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
+XLS_ROWS = 65_536
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
@@ -65,6 +67,9 @@ def _typed(fmt: str):
     def run(spark: SparkSession, d: str) -> DataFrame:
         columns = ["o_orderkey", "o_totalprice", "o_orderdate", "o_orderpriority"]
         rows = grid(spark, d, "orders", columns, "o_orderkey", as_dates)
+        if fmt == "xls" and len(rows) > XLS_ROWS:
+            sheets = [(f"orders {k}", [rows[0], *rows[1 + k : k + XLS_ROWS]]) for k in range(0, len(rows) - 1, XLS_ROWS - 1)]
+            return api.read_sheets(spark, write_book(f"{folder(spark)}/orders.xls", sheets), analyze_rows=200, union_by_name=True)
         path = write_book(f"{folder(spark)}/orders.{fmt}", [("orders", rows)])
         return api.read_sheet(spark, path, analyze_rows=200)
 
@@ -253,6 +258,155 @@ def sheet_sql_function(spark: SparkSession, d: str) -> DataFrame:
     return spark.sql(f"select o_orderpriority, count(*) n, round(avg(o_totalprice), 4) mean, min(o_orderdate) first_day from read_sheet('{path}', sheet => 'ord*', analyze_rows => 100) where o_totalprice > 1000 group by 1")
 
 
+@query("select s_suppkey, s_acctbal > 0 positive, case when s_suppkey % 4 > 0 then s_acctbal > 5000 end rich from supplier")
+def boolean_columns(spark: SparkSession, d: str) -> DataFrame:
+    rows = grid(spark, d, "supplier", ["s_suppkey", "s_acctbal"], "s_suppkey")
+    rows = [["s_suppkey", "positive", "rich"], *([k, v > 0, v > 5000 if k % 4 else None] for k, v in rows[1:])]
+    return api.read_sheet(spark, write_book(f"{folder(spark)}/flags.xlsb", [("s", rows)]))
+
+
+@query("select o_orderkey, strftime(o_orderdate, '%Y-%m-%d') as day, strftime(o_orderdate, '%Y-%m-%d') || ' ' || lpad(cast(o_orderkey % 24 as varchar), 2, '0') || ':30:00' as moment, case when o_orderkey % 2 = 0 then 'true' else 'false' end flag from orders")
+def display_forms(spark: SparkSession, d: str) -> DataFrame:
+    """Dates, times and booleans in columns of texts."""
+    rows = grid(spark, d, "orders", ["o_orderkey", "o_orderdate"], "o_orderkey")
+    rows = [["o_orderkey", "day", "moment", "flag"], *([k, v.date(), v.replace(hour=k % 24, minute=30), k % 2 == 0] for k, v in rows[1:])]
+    return api.read_sheet(spark, write_book(f"{folder(spark)}/shown.xlsx", [("s", rows)]), columns={"o_*": "bigint", "*": "varchar"})
+
+
+@query("select s_suppkey, case when s_suppkey % 3 <> 0 then s_acctbal end s_acctbal, case when s_suppkey % 5 <> 0 then s_name end s_name from supplier")
+def error_texts(spark: SparkSession, d: str) -> DataFrame:
+    """Error codes by their names, listed as nulls."""
+    rows = grid(spark, d, "supplier", ["s_suppkey", "s_acctbal", "s_name"], "s_suppkey")
+    rows[1:] = [[k, Raw("error", "#DIV/0!") if k % 3 == 0 else v, Raw("error", "#N/A") if k % 5 == 0 else n] for k, v, n in rows[1:]]
+    return api.read_sheet(spark, write_book(f"{folder(spark)}/errors.xls", [("s", rows)]), nulls=["", "#DIV/0!", "#N/A"])
+
+
+@query("select s_suppkey, case when s_suppkey % 3 <> 0 then s_acctbal end s_acctbal, s_suppkey % 2 = 1 odd, case when s_suppkey % 7 = 0 then s_name end hidden from supplier")
+def ods_cells(spark: SparkSession, d: str) -> DataFrame:
+    """Error cells, booleans as 0 and 1, and values of covered cells of an OpenDocument sheet."""
+    head = "".join(f'<table:table-cell office:value-type="string"><text:p>{x}</text:p></table:table-cell>' for x in ("s_suppkey", "s_acctbal", "odd", "hidden"))
+    body = [f"<table:table-row>{head}</table:table-row>"]
+    for k, v, n in grid(spark, d, "supplier", ["s_suppkey", "s_acctbal", "s_name"], "s_suppkey")[1:]:
+        worth = '<table:table-cell office:value-type="string" calcext:value-type="error"><text:p>#DIV/0!</text:p></table:table-cell>' if k % 3 == 0 else f'<table:table-cell office:value-type="float" office:value="{v!r}"/>'
+        covered = f'<table:covered-table-cell office:value-type="string"><text:p>{n}</text:p></table:covered-table-cell>' if k % 7 == 0 else "<table:covered-table-cell/>"
+        body.append(f'<table:table-row><table:table-cell office:value-type="float" office:value="{k}"/>{worth}<table:table-cell office:value-type="boolean" office:boolean-value="{k % 2}"/>{covered}</table:table-row>')
+    return api.read_sheet(spark, write_ods_tables(f"{folder(spark)}/cells.ods", f'<table:table table:name="s">{"".join(body)}</table:table>'), error_as_null=True)
+
+
+@query("select s_suppkey, s_name from supplier union all select null, null from range(7)")
+def range_padding(spark: SparkSession, d: str) -> DataFrame:
+    """A range that ends seven rows below the data."""
+    rows = grid(spark, d, "supplier", ["s_suppkey", "s_name"], "s_suppkey")
+    return api.read_sheet(spark, write_book(f"{folder(spark)}/short.xlsx", [("s", rows)]), range=f"A1:B{len(rows) + 7}")
+
+
+@query('select s_suppkey, s_name "B", s_acctbal "C" from supplier')
+def missing_headers(spark: SparkSession, d: str) -> DataFrame:
+    rows = grid(spark, d, "supplier", ["s_suppkey", "s_name", "s_acctbal"], "s_suppkey")
+    return api.read_sheet(spark, write_book(f"{folder(spark)}/heads.xls", [("s", [["s_suppkey", None, None], *rows[1:]])]))
+
+
+@query("select s_suppkey, s_name from supplier order by s_suppkey limit 5")
+def both_row_flags(spark: SparkSession, d: str) -> DataFrame:
+    return api.read_sheet(spark, gapped(spark, d), skip_empty_rows=True, end_at_empty_row=True)
+
+
+@query("select s_suppkey from supplier where s_suppkey % 3 <> 0")
+def emptiness_in_range(spark: SparkSession, d: str) -> DataFrame:
+    """Rows that are empty within the selected columns only."""
+    rows = grid(spark, d, "supplier", ["s_suppkey", "s_name"], "s_suppkey")
+    rows[1:] = [[k if k % 3 else None, n] for k, n in rows[1:]]
+    return api.read_sheet(spark, write_book(f"{folder(spark)}/part.ods", [("s", rows)]), range="A:A", skip_empty_rows=True)
+
+
+@query("select s_suppkey, cast(row_number() over (order by s_acctbal, s_suppkey) as bigint) place from supplier")
+def row_order(spark: SparkSession, d: str) -> DataFrame:
+    """Rows come in the order of files, sheets and rows."""
+    rows = grid(spark, d, "supplier", ["s_suppkey", "s_acctbal"], "s_suppkey")
+    body, where = sorted(rows[1:], key=lambda r: (r[1], r[0])), folder(spark)
+    third = -(-len(body) // 3)
+    write_book(f"{where}/a.xlsx", [("x", [rows[0], *body[:third]]), ("y", [rows[0], *body[third : 2 * third]])])
+    write_book(f"{where}/b.ods", [("z", [rows[0], *body[2 * third :]])])
+    df = api.read_sheets(spark, [f"{where}/a.xlsx", f"{where}/b.ods"]).withColumn("at", F.monotonically_increasing_id())
+    return df.select("s_suppkey", F.row_number().over(Window.orderBy("at")).cast("long").alias("place"))
+
+
+@query("select cast(n_regionkey as bigint) n_regionkey, count(*) n from nation group by 1")
+def sheet_view(spark: SparkSession, d: str) -> DataFrame:
+    path = write_book(f"{folder(spark)}/nation.xlsx", [("nation", grid(spark, d, "nation", ["n_nationkey", "n_regionkey"], "n_nationkey"))])
+    name = f"nation_{uuid.uuid4().hex[:8]}"
+    api.register(spark)
+    spark.sql(f"create temporary view {name} using sheet options (path '{path}', sheet 'nat*')")
+    return spark.sql(f"select n_regionkey, count(*) n from {name} group by 1")
+
+
+@query("select x || '.' || e file, cast(n_nationkey as bigint) n_nationkey from nation, (values ('a', 'xlsm'), ('a', 'xlam'), ('a', 'xla'), ('a', 'et'), ('a', 'ett')) t(x, e)")
+def other_extensions(spark: SparkSession, d: str) -> DataFrame:
+    where, rows = folder(spark), grid(spark, d, "nation", ["n_nationkey"], "n_nationkey")
+    for end, fmt in (("xlsm", "xlsx"), ("xlam", "xlsx"), ("xla", "xls"), ("et", "xls"), ("ett", "xls")):
+        os.rename(write_book(f"{where}/b.{fmt}", [("n", rows)]), f"{where}/a.{end}")
+    df = api.read_sheets(spark, f"{where}/a.*", file_name_column="file")
+    return df.withColumn("file", F.regexp_extract("file", r"([^/]+)$", 1))
+
+
+@query("select * from (values ('encrypted.ods', 'password protected'), ('none.ods', 'empty'), ('plain.txt', 'unsupported format'), ('type.ods', 'unsupported format')) t(file, message)")
+def rejected_workbooks(spark: SparkSession, d: str) -> DataFrame:
+    """Why workbooks can't be read, as their error messages say."""
+    where = folder(spark)
+    manifest = '<m:manifest xmlns:m="urn:oasis:names:tc:opendocument:xmlns:manifest:1.0"><m:file-entry><m:encryption-data/></m:file-entry></m:manifest>'
+    books = {
+        "encrypted.ods": write_ods_tables(f"{where}/encrypted.ods", '<table:table table:name="s"/>', manifest=manifest),
+        "none.ods": write_ods_tables(f"{where}/none.ods", ""),
+        "plain.txt": f"{where}/plain.txt",
+        "type.ods": write_ods_tables(f"{where}/type.ods", "", mime="application/zip"),
+    }
+    out = []
+    for name, path in books.items():
+        try:
+            api.analyze_sheet(spark, path)
+        except SheetError as e:
+            out.append((name, str(e).rpartition(": ")[2]))
+    return spark.createDataFrame(out, "file string, message string")
+
+
+@query("select cast(n_nationkey as bigint) n_nationkey, n_name, n_regionkey || '' sheet from nation where n_regionkey in (0, 2, 4)")
+def sheets_sql_function(spark: SparkSession, d: str) -> DataFrame:
+    api.register(spark)
+    return spark.sql(f"select n_nationkey, n_name, substring(sheet, -1, 1) sheet from read_sheets(array('{by_region(spark, d)}/part0.*'), sheets => array('Region*'), union_by_name => true, sheet_name_column => 'sheet')")
+
+
+@query("select 'Region ' || r sheet_name, count(*) n from (values (0), (2), (4)) t(r), (values ('n_nationkey'), ('n_name')) u(c) group by 1")
+def analyze_sql_function(spark: SparkSession, d: str) -> DataFrame:
+    api.register(spark)
+    return spark.sql(f"select sheet_name, count(*) n from analyze_sheets(array('{by_region(spark, d)}/part0.*')) group by 1")
+
+
+@query("select s_suppkey, (select max(o_orderkey) from orders where o_totalprice <= s_acctbal * 20 and o_totalprice = (select max(o_totalprice) from orders where o_totalprice <= s_acctbal * 20)) o_orderkey from supplier")
+def sheet_asof_join(spark: SparkSession, d: str) -> DataFrame:
+    """For each supplier the dearest order of at most twenty times the balance: as-of, by a window over both sides' merged rows.
+
+    The merged rows are ordered in ranges of prices; a range takes the last order of the ranges before it.
+    """
+    orders = spark.read.parquet(f"{d}/orders.parquet").select(F.col("o_totalprice").alias("at"), "o_orderkey", F.lit(None).cast("long").alias("s_suppkey"))
+    asked = api.read_sheet(spark, supplier(spark, d)).select((F.col("s_acctbal") * 20).alias("at"), F.lit(None).cast("long").alias("o_orderkey"), "s_suppkey")
+    both = orders.unionByName(asked).withColumn("part", F.floor(F.col("at") / 5000))
+    key = F.struct("at", "o_orderkey")
+    last = both.where("o_orderkey is not null").groupBy("part").agg(F.max(key).alias("last"))
+    before = both.select("part").distinct().join(last, "part", "left").select("part", F.max("last").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)).alias("before"))
+    # Orders at the same price come first, so that they count.
+    w = Window.partitionBy("part").orderBy("at", F.col("s_suppkey").isNotNull()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    own = F.max(F.when(F.col("o_orderkey").isNotNull(), key)).over(w)
+    found = both.withColumn("own", own).where("s_suppkey is not null").join(before, "part", "left")
+    return found.select("s_suppkey", F.coalesce("own", "before")["o_orderkey"].alias("o_orderkey"))
+
+
+@query("select cast(s_nationkey as bigint) s_nationkey, quantile_disc(s_acctbal, 0.5) middle, count(distinct s_name) names from supplier group by 1")
+def sheet_approximate(spark: SparkSession, d: str) -> DataFrame:
+    """Mergeable sketches over a sheet: a quantile sketch, exact at this accuracy, and a sketch of distinct values, exact for few."""
+    df = api.read_sheet(spark, supplier(spark, d))
+    return df.groupBy("s_nationkey").agg(F.percentile_approx("s_acctbal", 0.5, 100_000).alias("middle"), F.hll_sketch_estimate(F.hll_sketch_agg("s_name", F.lit(21))).alias("names"))
+
+
 def flagship(spark: SparkSession, d: str) -> DataFrame:
     """Nations and their suppliers from two workbooks of different formats, joined and aggregated."""
     return sheet_join_aggregate(spark, d)

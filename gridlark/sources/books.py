@@ -32,4 +32,5 @@ def open_book(path: str, data: bytes | None = None):
     book = kind(path, stream)
     if not book.sheets:
         raise SheetError(f"Spreadsheet '{path}': empty")
+    book.close = stream.close
     return book

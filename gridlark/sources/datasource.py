@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from dataclasses import replace
 
 import pyarrow as pa
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -56,10 +57,15 @@ class SheetPartition(InputPartition):
 
 class SheetReader(DataSourceReader):
     def __init__(self, options: dict[str, str]):
-        self.plan, self.multi = make_plan(options)
+        plan, self.multi = make_plan(options)
+        self.tasks, self.plan = plan.tasks, replace(plan, tasks=())
+
+    def __getstate__(self) -> dict:
+        """What a task gets: columns and options, its own work being in its partition."""
+        return self.__dict__ | {"tasks": ()}
 
     def partitions(self) -> list[SheetPartition]:
-        return [SheetPartition(t) for t in self.plan.tasks]
+        return [SheetPartition(t) for t in self.tasks]
 
     def read(self, partition: SheetPartition) -> Iterator[pa.RecordBatch]:
         return scan_checked(self.plan, partition.task, self.multi)

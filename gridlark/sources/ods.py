@@ -1,34 +1,127 @@
-"""ODS: content.xml in a ZIP, parsed as a stream."""
+"""ODS: content.xml in a ZIP, parsed as a stream of events."""
 
 from __future__ import annotations
 
-import xml.etree.ElementTree as ET
 from collections.abc import Iterator
 from typing import BinaryIO
+from xml.parsers import expat
 
 from gridlark.functions.a1 import MAX_COLUMNS
-from gridlark.model import BOOL, DURATION, ISO, NUM, TEXT, Cell, Row, SheetError
-from gridlark.sources.xlsx import attribute, local, parse_xml
+from gridlark.model import BOOL, DURATION, ERROR, ISO, NUM, TEXT, Cell, Row, SheetError
+from gridlark.sources.xlsx import local, parse_xml
 from gridlark.sources.zipparts import Parts
 
 MIME = b"application/vnd.oasis.opendocument.spreadsheet"
+#: Namespaces of OpenDocument.
+_OFFICE = "urn:oasis:names:tc:opendocument:xmlns:office:1.0 "
+_TABLE = "urn:oasis:names:tc:opendocument:xmlns:table:1.0 "
+_TEXT = "urn:oasis:names:tc:opendocument:xmlns:text:1.0 "
+_CALC = "urn:org:documentfoundation:names:experimental:calc:xmlns:calcext:1.0 "
 
+_BODY, _SHEET, _ROW, _CELLS = _OFFICE + "spreadsheet", _TABLE + "table", _TABLE + "table-row", {_TABLE + "table-cell", _TABLE + "covered-table-cell"}
+_P, _S, _TAB, _BREAK, _NOTE = _TEXT + "p", _TEXT + "s", _TEXT + "tab", _TEXT + "line-break", _OFFICE + "annotation"
+_NAME, _COLUMNS, _ROWS = _TABLE + "name", _TABLE + "number-columns-repeated", _TABLE + "number-rows-repeated"
+_KIND, _VALUE, _STRING, _ERROR_KIND = _OFFICE + "value-type", _OFFICE + "value", _OFFICE + "string-value", _CALC + "value-type"
+_VALUES = {"boolean": (BOOL, _OFFICE + "boolean-value"), "date": (ISO, _OFFICE + "date-value"), "time": (DURATION, _OFFICE + "time-value")}
 
-def paragraph(e: ET.Element) -> str:
-    """Text of a paragraph; ``text:s`` is spaces, ``text:tab`` a tab, ``text:line-break`` a line feed; annotations are left out."""
-    out = [e.text or ""]
-    for child in e:
-        name = local(child.tag)
-        if name == "s":
-            out.append(" " * int(attribute(child, "c") or 1))
-        elif name == "tab":
-            out.append("\t")
-        elif name == "line-break":
-            out.append("\n")
-        elif name != "annotation":
-            out.append(paragraph(child))
-        out.append(child.tail or "")
-    return "".join(out)
+
+class _Sheet:
+    """Event handlers that collect the rows of one sheet, as ``(cells, repeat)``; tables within cells are passed over."""
+
+    def __init__(self, parser, sheet: str):
+        self.rows: list[tuple[list[Cell], int]] = []
+        self.done = False
+        cells: list[Cell] = []
+        text: list[str] = []
+        # Depths at which the sheet, the cell, a paragraph of it and something to pass over began; 0 is none.
+        depth = inside = cell = para = skip = 0
+        column = repeat = span = kind = paragraphs = 0
+
+        def start(name: str, attrs: dict[str, str]) -> None:
+            nonlocal depth, inside, cell, para, skip, column, repeat, span, kind, paragraphs
+            depth += 1
+            if not inside:
+                if name == _SHEET and not skip:
+                    if not self.done and attrs.get(_NAME) == sheet:
+                        inside = depth
+                    else:
+                        skip = depth
+                return
+            if skip:
+                return
+            if para:
+                if name == _S:
+                    text.append(" " * int(attrs.get(_S_COUNT, 1)))
+                elif name == _TAB:
+                    text.append("\t")
+                elif name == _BREAK:
+                    text.append("\n")
+                elif name == _NOTE:
+                    skip = depth
+            elif cell:
+                if name == _P and depth == cell + 1:
+                    if kind in (TEXT, ERROR):
+                        para = depth
+                        if paragraphs:
+                            text.append("\n")
+                        paragraphs += 1
+                elif name == _SHEET or name == _NOTE:
+                    skip = depth
+            elif name in _CELLS:
+                cell, span, kind, paragraphs = depth, int(attrs.get(_COLUMNS, 1)), 0, 0
+                shown = attrs.get(_KIND)
+                if shown is None:
+                    return
+                if shown == "string":
+                    kind = ERROR if attrs.get(_ERROR_KIND) == "error" else TEXT
+                    if (value := attrs.get(_STRING)) is not None:
+                        text.append(value)
+                        kind = -kind
+                elif shown in _VALUES:
+                    kind, at = _VALUES[shown]
+                    value = attrs.get(at, "")
+                    text.append(("0" if value in ("false", "0", "") else "1") if kind == BOOL else value)
+                elif (value := attrs.get(_VALUE)) is not None:
+                    kind = NUM
+                    text.append(value)
+            elif name == _ROW:
+                repeat, column = int(attrs.get(_ROWS, 1)), 0
+            elif name == _SHEET:
+                skip = depth
+
+        def end(name: str) -> None:
+            nonlocal depth, inside, cell, para, skip, column, cells
+            if skip:
+                if depth == skip:
+                    skip = 0
+            elif not inside:
+                pass
+            elif para:
+                if depth == para:
+                    para = 0
+            elif cell:
+                if depth == cell:
+                    if kind:
+                        value = "".join(text)
+                        cells += [(column + k, abs(kind), value) for k in range(min(span, MAX_COLUMNS - column))] if span > 1 else [(column, abs(kind), value)]
+                        text.clear()
+                    column += span
+                    cell = 0
+            elif name == _ROW:
+                self.rows.append((cells, repeat))
+                cells = []
+            elif depth == inside:
+                inside, self.done = 0, True
+            depth -= 1
+
+        def data(value: str) -> None:
+            if para and not skip:
+                text.append(value)
+
+        parser.StartElementHandler, parser.EndElementHandler, parser.CharacterDataHandler = start, end, data
+
+
+_S_COUNT = _TEXT + "c"
 
 
 class OdsBook:
@@ -43,69 +136,49 @@ class OdsBook:
             root = parse_xml(self.parts.read("META-INF/manifest.xml"), "META-INF/manifest.xml")
             if any(local(e.tag) == "encryption-data" for e in root.iter()):
                 raise SheetError(f"Spreadsheet '{name}': password protected")
-        self.sheets = [attribute(e, "name") or "" for event, e, depth in self._events() if event == "start" and local(e.tag) == "table" and depth == "spreadsheet"]
+        self.sheets: list[str] = []
+        self._names()
 
-    def _events(self) -> Iterator[tuple[str, ET.Element, str | None]]:
-        """Parse events with the local name of the parent; finished rows are dropped from the tree by the callers."""
-        parser = ET.XMLPullParser(["start", "end"])
-        stack: list[str] = []
+    def _fed(self, parser) -> Iterator[None]:
+        """Feeds the whole part, a chunk between two steps."""
+        parser.buffer_text = True
         try:
             for chunk in self.parts.chunks("content.xml"):
-                parser.feed(chunk)
-                for event, e in parser.read_events():
-                    if event == "end":
-                        stack.pop()
-                    yield event, e, stack[-1] if stack else None
-                    if event == "start":
-                        stack.append(local(e.tag))
-                    elif local(e.tag) in ("table-row", "table"):
-                        e.clear()
-            parser.close()
-        except ET.ParseError as e:
+                parser.Parse(chunk, False)
+                yield
+            parser.Parse(b"", True)
+        except expat.ExpatError as e:
             raise SheetError("file 'content.xml' is missing or corrupted.") from e
+        yield
+
+    def _names(self) -> None:
+        parser = expat.ParserCreate(namespace_separator=" ")
+        depth = body = 0
+
+        def start(name: str, attrs: dict[str, str]) -> None:
+            nonlocal depth, body
+            depth += 1
+            if name == _BODY:
+                body = depth
+            elif name == _SHEET and depth == body + 1:
+                self.sheets.append(attrs.get(_NAME, ""))
+
+        def end(name: str) -> None:
+            nonlocal depth
+            depth -= 1
+
+        parser.StartElementHandler, parser.EndElementHandler = start, end
+        for _ in self._fed(parser):
+            pass
 
     def part_size(self, sheet: str) -> int:
         return self.parts.size("content.xml")
 
-    def _cells(self, row: ET.Element) -> list[Cell]:
-        out: list[Cell] = []
-        col = 0
-        for c in row:
-            if local(c.tag) not in ("table-cell", "covered-table-cell"):
-                continue
-            repeat = int(attribute(c, "number-columns-repeated") or 1)
-            kind = attribute(c, "value-type")
-            cell: tuple[int, str] | None = None
-            if kind == "boolean":
-                cell = (BOOL, "1" if attribute(c, "boolean-value") == "true" else "0")
-            elif kind == "date":
-                cell = (ISO, attribute(c, "date-value") or "")
-            elif kind == "time":
-                cell = (DURATION, attribute(c, "time-value") or "")
-            elif kind == "string":
-                value = attribute(c, "string-value")
-                cell = (TEXT, value if value is not None else "\n".join(paragraph(p) for p in c if local(p.tag) == "p"))
-            elif kind is not None and (value := attribute(c, "value")) is not None:
-                cell = (NUM, value)
-            if cell and local(c.tag) == "table-cell":
-                out += [(col + k, *cell) for k in range(min(repeat, MAX_COLUMNS - col))]
-            col += repeat
-        return out
-
     def rows(self, sheet: str, row_lo: int | None = None, row_hi: int | None = None, part=None) -> Iterator[Row]:
-        inside, nested, row = False, 0, 0
-        for event, e, parent in self._events():
-            name = local(e.tag)
-            if name == "table":
-                if parent != "spreadsheet":
-                    nested += 1 if event == "start" else -1
-                elif event == "start":
-                    inside = attribute(e, "name") == sheet
-                elif inside:
-                    return
-            elif inside and not nested and name == "table-row" and event == "end":
-                repeat = int(attribute(e, "number-rows-repeated") or 1)
-                cells = self._cells(e)
+        parser = expat.ParserCreate(namespace_separator=" ")
+        found, row = _Sheet(parser, sheet), 0
+        for _ in self._fed(parser):
+            for cells, repeat in found.rows:
                 if cells:
                     for k in range(repeat):
                         if row_hi is not None and row + k > row_hi:
@@ -115,3 +188,6 @@ class OdsBook:
                 row += repeat
                 if row_hi is not None and row > row_hi:
                     return
+            found.rows.clear()
+            if found.done:
+                return

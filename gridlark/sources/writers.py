@@ -289,12 +289,14 @@ def write_xls(path: str, sheets: list[Sheet], *, date1904: bool = False) -> None
 
 # ---- ODS
 
-_ODS = 'xmlns:office="urn:oasis:names:tc:opendocument:xmlns:office:1.0" xmlns:table="urn:oasis:names:tc:opendocument:xmlns:table:1.0" xmlns:text="urn:oasis:names:tc:opendocument:xmlns:text:1.0"'
+_ODS = 'xmlns:office="urn:oasis:names:tc:opendocument:xmlns:office:1.0" xmlns:table="urn:oasis:names:tc:opendocument:xmlns:table:1.0" xmlns:text="urn:oasis:names:tc:opendocument:xmlns:text:1.0" xmlns:calcext="urn:org:documentfoundation:names:experimental:calc:xmlns:calcext:1.0"'
 
 
 def _ods_cell(v) -> str:
-    if v is None or isinstance(v, Raw) and v.kind in ("blank", "error"):
+    if v is None or isinstance(v, Raw) and v.kind == "blank":
         return "<table:table-cell/>"
+    if isinstance(v, Raw) and v.kind == "error":
+        return f'<table:table-cell office:value-type="string" calcext:value-type="error"><text:p>{escape(v.value)}</text:p></table:table-cell>'
     if isinstance(v, bool):
         return f'<table:table-cell office:value-type="boolean" office:boolean-value="{str(v).lower()}"/>'
     if isinstance(v, (int, float)):
@@ -308,11 +310,18 @@ def _ods_cell(v) -> str:
     return f'<table:table-cell office:value-type="string">{lines}</table:table-cell>'
 
 
-def write_ods(path: str, sheets: list[Sheet], *, date1904: bool = False) -> None:
-    tables = "".join(f"<table:table table:name={quoteattr(n)}>" + "".join("<table:table-row>" + "".join(map(_ods_cell, row)) + "</table:table-row>" for row in rows) + "</table:table>" for n, rows in sheets)
+def write_ods_tables(path: str, tables: str, *, manifest: str | None = None, mime: str = "application/vnd.oasis.opendocument.spreadsheet") -> str:
+    """An ODS workbook of the given ``table:table`` elements."""
     with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
-        z.writestr(zipfile.ZipInfo("mimetype"), "application/vnd.oasis.opendocument.spreadsheet")
+        z.writestr(zipfile.ZipInfo("mimetype"), mime)
+        if manifest:
+            z.writestr("META-INF/manifest.xml", manifest)
         z.writestr("content.xml", f'<?xml version="1.0" encoding="UTF-8"?><office:document-content {_ODS}><office:body><office:spreadsheet>{tables}</office:spreadsheet></office:body></office:document-content>')
+    return path
+
+
+def write_ods(path: str, sheets: list[Sheet], *, date1904: bool = False) -> None:
+    write_ods_tables(path, "".join(f"<table:table table:name={quoteattr(n)}>" + "".join("<table:table-row>" + "".join(map(_ods_cell, row)) + "</table:table-row>" for row in rows) + "</table:table>" for n, rows in sheets))
 
 
 WRITERS = {"xlsx": write_xlsx, "xlsb": write_xlsb, "xls": write_xls, "ods": write_ods}

@@ -6,7 +6,6 @@ an XML parser by itself. A part may be read by several tasks: each inflates the
 
 from __future__ import annotations
 
-import html
 import re
 import xml.etree.ElementTree as ET
 from collections.abc import Iterator
@@ -18,7 +17,11 @@ from gridlark.model import BOOL, ERROR, ISO, NUM, TEXT, Cell, Row, SheetError
 from gridlark.sources.zipparts import Parts, relationship_target
 
 KINDS = {b"s": TEXT, b"str": TEXT, b"inlineStr": TEXT, b"b": BOOL, b"d": ISO, b"e": ERROR, b"n": NUM, b"": NUM}
-_CELL = re.compile(rb'<c r="([A-Z]+)([0-9]+)"(?: s="([0-9]+)")?(?: t="([a-zA-Z]+)")?\s*(?:/>|>(?:<f[^>]*?(?:/>|>[^<]*</f>))?(?:<v>([^<]*)</v>|<v/>)?</c>)')
+_CELL = re.compile(rb'<c r="([A-Z]+)([0-9]+)"(?: s="([0-9]+)")?(?: t="([a-zA-Z]+)")?\s*(?:/>|>(?:<f[^>]*?(?:/>|>[^<]*</f>))?(?:<v>([^<]*)</v>|<v/>|<is><t(?: xml:space="preserve")?>([^<]*)</t></is>)?</c>)')
+_ROWS = re.compile(rb"<((?:\w+:)?)row\b(?:[^>]*/>|.*?</\1row>)", re.DOTALL)
+_ENTITY = re.compile(r"&(?:#([0-9]+)|#x([0-9A-Fa-f]+)|(amp|lt|gt|quot|apos));")
+#: The entities of XML.
+_ENTITIES = {"amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'"}
 _ROW_NUMBER = re.compile(rb"""<(?:\w+:)?row\b[^>]*?\sr=["']([0-9]+)["']""")
 _ROW = re.compile(rb"<(?:\w+:)?row[\s>/]")
 LOOK_BACK = 1 << 20
@@ -53,8 +56,13 @@ def string_text(element: ET.Element) -> str:
 
 
 def text_of(data: bytes) -> str:
+    """Character data as an XML parser gives it: its entities and no others, line ends as line feeds."""
     out = data.decode()
-    return html.unescape(out) if "&" in out else out
+    if "\r" in out:
+        out = out.replace("\r\n", "\n").replace("\r", "\n")
+    if "&" in out:
+        out = _ENTITY.sub(lambda m: _ENTITIES[m[3]] if m[3] else chr(int(m[1]) if m[1] else int(m[2], 16)), out)
+    return out
 
 
 class XlsxBook:
@@ -202,28 +210,41 @@ class XlsxBook:
         return False
 
     def _parse(self, data: bytes, expected: int) -> Iterator[tuple[int, list[Cell]]]:
-        found = _CELL.findall(data)
-        if found and len(found) == data.count(b"<c ") and b"<!" not in data and b"<c>" not in data and b"<c/>" not in data and b":c " not in data:
-            formats, strings = self.formats, None
-            now, cells = None, []
-            for letters, number, style, kind, value in found:
-                if number != now:
-                    if now is not None:
-                        yield int(now) - 1, cells
-                    now, cells = number, []
-                if not kind:
-                    if value:
-                        cells.append((column_index(letters.decode()), formats[int(style)] if style and int(style) < len(formats) else NUM, value.decode()))
-                elif kind == b"s":
-                    if strings is None:
-                        strings = self.strings()
-                    cells.append((column_index(letters.decode()), TEXT, strings[int(value)]))
-                else:
-                    self._add(cells, column_index(letters.decode()), style, kind, text_of(value))
-            if now is not None:
-                yield int(now) - 1, cells
+        found = self._usual(data)
+        if found is not None:
+            yield from found
             return
-        for m in re.finditer(rb"<((?:\w+:)?)row\b(?:[^>]*/>|.*?</\1row>)", data, re.DOTALL):
-            row, cells = self._slow_row(m[0], expected)
-            yield row, cells
-            expected = row + 1
+        for m in _ROWS.finditer(data):  # row by row, so that an unusual cell costs no more than its row
+            rows = self._usual(m[0])
+            for row, cells in [self._slow_row(m[0], expected)] if rows is None else rows:
+                yield row, cells
+                expected = row + 1
+
+    def _usual(self, data: bytes) -> Iterator[tuple[int, list[Cell]]] | None:
+        """The rows, if all their cells are as writers usually emit them, with references."""
+        found = _CELL.findall(data)
+        if not found or len(found) != data.count(b"<c ") or b"<!" in data or b"<c>" in data or b"<c/>" in data or b":c " in data:
+            return None
+        return self._gathered(found)
+
+    def _gathered(self, found: list[tuple[bytes, ...]]) -> Iterator[tuple[int, list[Cell]]]:
+        formats, strings = self.formats, None
+        now, cells = None, []
+        for letters, number, style, kind, value, inline in found:
+            if number != now:
+                if now is not None:
+                    yield int(now) - 1, cells
+                now, cells = number, []
+            if not kind and not inline:
+                if value:
+                    cells.append((column_index(letters.decode()), formats[int(style)] if style and int(style) < len(formats) else NUM, value.decode()))
+            elif kind == b"s":
+                if strings is None:
+                    strings = self.strings()
+                cells.append((column_index(letters.decode()), TEXT, strings[int(value)]))
+            elif kind == b"inlineStr":
+                cells.append((column_index(letters.decode()), TEXT, text_of(inline or value)))
+            else:
+                self._add(cells, column_index(letters.decode()), style, kind, text_of(value or inline))
+        if now is not None:
+            yield int(now) - 1, cells

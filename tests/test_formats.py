@@ -127,7 +127,7 @@ def test_sampling(tmp_path):
     assert plan_single(path, parse_options(analyze_rows=1)).columns == (("n", "varchar"),)
 
 
-@pytest.mark.parametrize("fmt", ["xlsx", "xlsb", "xls"])
+@pytest.mark.parametrize("fmt", ["xlsx", "xlsb", "xls", "ods"])
 def test_nulls_and_errors(tmp_path, fmt):
     rows = [["a", "b"], ["--", 1], [Raw("inline", "N/A"), 0], ["0", Raw("error", "#REF!")], ["x", Raw("error", "#ODD")]]
     path = write_book(f"{tmp_path}/a.{fmt}", [("S", rows)])
@@ -135,7 +135,7 @@ def test_nulls_and_errors(tmp_path, fmt):
         read(path)
     got = rows_of(path, error_as_null=True, nulls=["--", "N/A", "0"])
     assert got == [(None, 1), (None, None), (None, None), ("x", None)]
-    if fmt == "xlsx":
+    if fmt in ("xlsx", "ods"):
         assert rows_of(path, nulls=["#REF!", "#ODD"]) == [("--", 1), ("N/A", 0), ("0", None), ("x", None)]
     else:
         with pytest.raises(SheetError, match="#ERROR!"):
@@ -276,6 +276,42 @@ def test_ods_repeats(tmp_path):
     assert rows_of(tmp_path / "a.ods", end_at_empty_row=True, header=False) == [(1, 1), (1, 1)]
 
 
+def test_ods_cells(tmp_path):
+    """Error cells, booleans by any of their forms, values of covered cells, nested tables, other prefixes."""
+    cell = '<table:{0} office:value-type="boolean" office:boolean-value="{1}"/>'
+    flags = "".join(cell.format("table-cell", x) for x in ("true", "1", "false", "0"))
+    odd = '<table:table-cell office:value-type="string" calcext:value-type="error"><text:p>#DIV/0!</text:p></table:table-cell><table:table-cell office:value-type="string" calcext:value-type="string" office:string-value="v"><text:p>shown</text:p></table:table-cell>'
+    inner = '<table:table-cell office:value-type="string"><text:p>a</text:p><table:table table:name="T"><table:table-row><table:table-cell office:value-type="float" office:value="9"/></table:table-row></table:table><text:p>b</text:p></table:table-cell>'
+    rows = f"<table:table-row>{flags}</table:table-row><table:table-row>{odd}</table:table-row><table:table-row>{cell.format('covered-table-cell', '1')}{inner}</table:table-row>"
+    path = ods(tmp_path / "a.ods", f'<table:table table:name="T">{rows}</table:table>')
+    book = open_book(path)
+    assert book.sheets == ["T"]
+    assert cells(book) == [(0, [(0, BOOL, "1"), (1, BOOL, "1"), (2, BOOL, "0"), (3, BOOL, "0")]), (1, [(0, ERROR, "#DIV/0!"), (1, TEXT, "v")]), (2, [(0, BOOL, "1"), (1, TEXT, "a\nb")])]
+    with pytest.raises(SheetError, match=r"T!A2': #DIV/0!"):
+        read(path, header=False)
+    with zipfile.ZipFile(path) as z:
+        renamed = z.read("content.xml").decode().replace("table:", "t:").replace("xmlns:table", "xmlns:t").replace("oasis:names:tc:opendocument:xmlns:t:", "oasis:names:tc:opendocument:xmlns:table:")
+    with zipfile.ZipFile(tmp_path / "b.ods", "w") as z:
+        z.writestr("content.xml", renamed)
+    assert cells(open_book(f"{tmp_path}/b.ods")) == cells(book)
+
+
+def test_xlsx_text_is_xml(tmp_path):
+    """Entities of XML and no others, and line ends as a parser gives them, on the quick path as on the other."""
+    body = "<c r=\"A{0}\" t=\"str\"><v>&#128;&amp;lt;&#x41;\r\nb\rc</v></c><c r=\"B{0}\" t=\"inlineStr\"><is><t xml:space=\"preserve\"> i&quot;</t></is></c>"
+    path = write_book(f"{tmp_path}/a.xlsx", [("S", [["a", "b"], [1, 2]])])
+    with zipfile.ZipFile(path) as z:
+        parts = {n: z.read(n) for n in z.namelist()}
+    name = next(n for n in parts if "worksheets" in n)
+    quick, slow = f'<row r="1">{body.format(1)}</row>', f'<row r="2"><!-- x -->{body.format(2)}</row>'
+    for k, data in enumerate((quick, quick + slow)):
+        sheet = f'<worksheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"><sheetData>{data}</sheetData></worksheet>'
+        with zipfile.ZipFile(f"{tmp_path}/b{k}.xlsx", "w") as z:
+            for n, x in parts.items():
+                z.writestr(n, sheet if n == name else x)
+        assert cells(open_book(f"{tmp_path}/b{k}.xlsx")) == [(r, [(0, TEXT, "\x80&lt;A\nb\nc"), (1, TEXT, ' i"')]) for r in range(k + 1)]
+
+
 # ---- several files and sheets
 
 
