@@ -31,7 +31,9 @@ def error_name(code: int) -> str:
 
 def float_text(x: float) -> str:
     """Shortest text without exponent; whole numbers without a point."""
-    out = format(Decimal(repr(x)), "f")
+    out = repr(x)
+    if "e" in out or "n" in out:
+        out = format(Decimal(out), "f")
     return out[:-2] if out.endswith(".0") else out
 
 

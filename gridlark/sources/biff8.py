@@ -65,6 +65,9 @@ class Pieces:
         return out
 
 
+_HEAD, _PLACE, _SST_CELL, _NUMBER_CELL, _RK = (struct.Struct(x).unpack_from for x in ("<HH", "<HHH", "<HHHI", "<HHHd", "<HI"))
+
+
 def records(data: bytes, at: int = 0) -> Iterator[tuple[int, list[bytes], int]]:
     """Record types, bodies with continuations, and offsets."""
     while at + 4 <= len(data):
@@ -129,10 +132,14 @@ class XlsBook:
         return len(self.data)
 
     def _cells(self, at: int) -> Iterator[tuple[int, Cell]]:
+        """The cells of a sheet, by row. Only records of texts look for continuations; those of others are passed over."""
+        data, strings, kind_of, end = self.data, self._strings, self._kind, len(self.data) - 4
         pending: tuple[int, int] | None = None
         depth = 0
-        for kind, pieces, _ in records(self.data, at):
-            body = pieces[0]
+        while at <= end:
+            kind, n = _HEAD(data, at)
+            body, here = at + 4, at
+            at = body + n
             if kind == BOF:
                 depth += 1
             elif kind == EOF:
@@ -141,51 +148,66 @@ class XlsBook:
                     return
             elif depth > 1:  # an embedded chart
                 continue
+            elif kind == LABEL_SST:
+                row, col, _, index = _SST_CELL(data, body)
+                yield row, (col, TEXT, strings[index])
+            elif kind == NUMBER:
+                row, col, style, value = _NUMBER_CELL(data, body)
+                yield row, (col, kind_of(style), float_text(value))
+            elif kind == RK:
+                row, col, style, raw = _SST_CELL(data, body)
+                yield row, (col, kind_of(style), float_text(rk_value(raw)))
             elif kind == MUL_RK:
-                row, col = struct.unpack_from("<HH", body)
-                for p in range(4, len(body) - 2, 6):
-                    style, raw = struct.unpack_from("<HI", body, p)
-                    yield row, (col, self._kind(style), float_text(rk_value(raw)))
+                row, col = _HEAD(data, body)
+                for p in range(body + 4, at - 2, 6):
+                    style, raw = _RK(data, p)
+                    yield row, (col, kind_of(style), float_text(rk_value(raw)))
                     col += 1
+            elif kind == BOOL_ERR:
+                row, col, _ = _PLACE(data, body)
+                yield row, (col, ERROR, error_name(data[body + 6])) if data[body + 7] else (col, BOOL, str(data[body + 6]))
             elif kind == STRING and pending:
+                _, pieces, _ = next(records(data, here))
                 yield pending[0], (pending[1], TEXT, Pieces(pieces, self.encoding).string(2))
                 pending = None
-            elif kind in (BOOL_ERR, NUMBER, RK, LABEL_SST, LABEL, R_STRING, FORMULA):
-                row, col, style = struct.unpack_from("<HHH", body)
-                cell: Cell | None = None
-                if kind == NUMBER:
-                    cell = (col, self._kind(style), float_text(struct.unpack_from("<d", body, 6)[0]))
-                elif kind == RK:
-                    cell = (col, self._kind(style), float_text(rk_value(struct.unpack_from("<I", body, 6)[0])))
-                elif kind == BOOL_ERR:
-                    cell = (col, ERROR, error_name(body[6])) if body[7] else (col, BOOL, str(body[6]))
-                elif kind == LABEL_SST:
-                    cell = (col, TEXT, self._strings[struct.unpack_from("<I", body, 6)[0]])
-                elif kind in (LABEL, R_STRING):
-                    text = Pieces([pieces[0][6:], *pieces[1:]], self.encoding)
-                    n, flags = text.uint(2), text.uint(1)
-                    cell = (col, TEXT, text.characters(n, bool(flags & 1)))
-                elif body[12:14] != b"\xff\xff":
-                    cell = (col, self._kind(style), float_text(struct.unpack_from("<d", body, 6)[0]))
-                elif body[6] == 0:
+            elif kind in (LABEL, R_STRING):
+                row, col, _ = _PLACE(data, body)
+                _, pieces, _ = next(records(data, here))
+                text = Pieces([pieces[0][6:], *pieces[1:]], self.encoding)
+                n, flags = text.uint(2), text.uint(1)
+                yield row, (col, TEXT, text.characters(n, bool(flags & 1)))
+            elif kind == FORMULA:
+                row, col, style = _PLACE(data, body)
+                what = data[body + 6]
+                if data[body + 12 : body + 14] != b"\xff\xff":
+                    yield row, (col, kind_of(style), float_text(_NUMBER_CELL(data, body)[3]))
+                elif what == 0:
                     pending = (row, col)
-                elif body[6] == 1:
-                    cell = (col, BOOL, str(body[8]))
-                elif body[6] == 2:
-                    cell = (col, ERROR, error_name(body[8]))
+                elif what == 1:
+                    yield row, (col, BOOL, str(data[body + 8]))
+                elif what == 2:
+                    yield row, (col, ERROR, error_name(data[body + 8]))
                 else:
-                    cell = (col, TEXT, "")
-                if cell:
-                    yield row, cell
+                    yield row, (col, TEXT, "")
 
     def _kind(self, style: int) -> int:
         return self.formats[style] if style < len(self.formats) else NUM
 
     def rows(self, sheet: str, row_lo: int | None = None, row_hi: int | None = None, part=None) -> Iterator[Row]:
         """Records may come out of order within a sheet; rows are gathered, a sheet has 65,536 at most."""
-        found: dict[int, dict[int, Cell]] = {}
+        found: dict[int, list[Cell]] = {}
+        mixed: set[int] = set()  # rows whose cells aren't in order of columns
+        now, last, cells = -1, -1, []
         for row, cell in self._cells(self.places[sheet]):
-            if (row_lo is None or row >= row_lo) and (row_hi is None or row <= row_hi):
-                found.setdefault(row, {})[cell[0]] = cell
+            if row != now:
+                if (row_lo is not None and row < row_lo) or (row_hi is not None and row > row_hi):
+                    continue
+                cells = found.setdefault(row, [])
+                now, last = row, cells[-1][0] if cells else -1
+            if cell[0] <= last:
+                mixed.add(row)
+            last = cell[0]
+            cells.append(cell)
         for row in sorted(found):
-            yield row, [found[row][col] for col in sorted(found[row])]
+            cells = found[row]
+            yield row, sorted({c[0]: c for c in cells}.values()) if row in mixed else cells

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from typing import BinaryIO
 from xml.parsers import expat
 
 from gridlark.functions.a1 import MAX_COLUMNS
 from gridlark.model import BOOL, DURATION, ERROR, ISO, NUM, TEXT, Cell, Row, SheetError
-from gridlark.sources.xlsx import local, parse_xml
+from gridlark.sources.xlsx import local, parse_xml, text_of
 from gridlark.sources.zipparts import Parts
 
 MIME = b"application/vnd.oasis.opendocument.spreadsheet"
@@ -21,6 +22,8 @@ _CALC = "urn:org:documentfoundation:names:experimental:calc:xmlns:calcext:1.0 "
 _BODY, _SHEET, _ROW, _CELLS = _OFFICE + "spreadsheet", _TABLE + "table", _TABLE + "table-row", {_TABLE + "table-cell", _TABLE + "covered-table-cell"}
 _P, _S, _TAB, _BREAK, _NOTE = _TEXT + "p", _TEXT + "s", _TEXT + "tab", _TEXT + "line-break", _OFFICE + "annotation"
 _NAME, _COLUMNS, _ROWS = _TABLE + "name", _TABLE + "number-columns-repeated", _TABLE + "number-rows-repeated"
+_S_COUNT = _TEXT + "c"
+_PREFIX = re.compile(rb'xmlns:([\w.-]+)="urn:oasis:names:tc:opendocument:xmlns:table:1\.0"')
 _KIND, _VALUE, _STRING, _ERROR_KIND = _OFFICE + "value-type", _OFFICE + "value", _OFFICE + "string-value", _CALC + "value-type"
 _VALUES = {"boolean": (BOOL, _OFFICE + "boolean-value"), "date": (ISO, _OFFICE + "date-value"), "time": (DURATION, _OFFICE + "time-value")}
 
@@ -121,9 +124,6 @@ class _Sheet:
         parser.StartElementHandler, parser.EndElementHandler, parser.CharacterDataHandler = start, end, data
 
 
-_S_COUNT = _TEXT + "c"
-
-
 class OdsBook:
     splittable = False
     date1904 = False
@@ -136,8 +136,9 @@ class OdsBook:
             root = parse_xml(self.parts.read("META-INF/manifest.xml"), "META-INF/manifest.xml")
             if any(local(e.tag) == "encryption-data" for e in root.iter()):
                 raise SheetError(f"Spreadsheet '{name}': password protected")
-        self.sheets: list[str] = []
-        self._names()
+        self.sheets = self._quick_names()
+        if self.sheets is None:
+            self.sheets = self._names()
 
     def _fed(self, parser) -> Iterator[None]:
         """Feeds the whole part, a chunk between two steps."""
@@ -151,9 +152,42 @@ class OdsBook:
             raise SheetError("file 'content.xml' is missing or corrupted.") from e
         yield
 
-    def _names(self) -> None:
+    def _quick_names(self) -> list[str] | None:
+        """The names of sheets from the tags of tables alone; None where the text isn't as writers usually emit it."""
+        held, tags, prefix, depth, out = b"", None, b"", 0, []
+        for chunk in self.parts.chunks("content.xml"):
+            held += chunk
+            if b"<!" in held or b"encoding=" in held[:200] and b"utf-8" not in held[:200].lower():
+                return None
+            if tags is None:
+                found = _PREFIX.search(held)
+                if found is None:
+                    if len(held) > 1 << 16:
+                        return None
+                    continue
+                prefix = found[1]
+                tags = re.compile(rb"<(/?)" + re.escape(prefix) + rb":table((?:\s+[\w:.-]+\s*=\s*(?:\"[^\"]*\"|'[^']*'))*)\s*(/?)>")
+            cut = held.rfind(b"<")
+            depth = self._tables(tags, held[:cut], prefix, depth, out)
+            held = held[cut:]
+        return out if tags is not None and depth == 0 and held.rstrip().endswith(b">") and self._tables(tags, held, prefix, 0, out) == 0 else None
+
+    @staticmethod
+    def _tables(tags: re.Pattern, data: bytes, prefix: bytes, depth: int, out: list[str]) -> int:
+        for closing, attributes, empty in tags.findall(data):
+            if closing:
+                depth -= 1
+                continue
+            if depth == 0:
+                m = re.search(rb"\s" + re.escape(prefix) + rb":name\s*=\s*(?:\"([^\"]*)\"|'([^']*)')", attributes)
+                out.append(text_of(m[1] or m[2] or b"") if m else "")
+            depth += not empty
+        return depth
+
+    def _names(self) -> list[str]:
         parser = expat.ParserCreate(namespace_separator=" ")
         depth = body = 0
+        out: list[str] = []
 
         def start(name: str, attrs: dict[str, str]) -> None:
             nonlocal depth, body
@@ -161,7 +195,7 @@ class OdsBook:
             if name == _BODY:
                 body = depth
             elif name == _SHEET and depth == body + 1:
-                self.sheets.append(attrs.get(_NAME, ""))
+                out.append(attrs.get(_NAME, ""))
 
         def end(name: str) -> None:
             nonlocal depth
@@ -170,6 +204,7 @@ class OdsBook:
         parser.StartElementHandler, parser.EndElementHandler = start, end
         for _ in self._fed(parser):
             pass
+        return out
 
     def part_size(self, sheet: str) -> int:
         return self.parts.size("content.xml")
