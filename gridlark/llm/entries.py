@@ -110,6 +110,29 @@ def _quality_classifier(spark: SparkSession, d: str) -> DataFrame:
     return quality_classifier.classify(spark, table(spark, d, "documents"), table(spark, d, "labels"))
 
 
+JACCARD_SQL = r"""
+with recursive w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') ws from documents),
+s as (select distinct doc_id, unnest(case when len(ws) >= 4 then list_transform(range(1, len(ws) - 2), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] || ' ' || ws[i + 3]) when len(ws) > 0 then [array_to_string(ws, ' ')] else [] end) s from w),
+n as (select doc_id, count(*) n from s group by 1),
+p as (select a.doc_id a, b.doc_id b, count(*) c from s a join s b on a.s = b.s and a.doc_id < b.doc_id group by 1, 2),
+e as (select a, b from p join n x on x.doc_id = a join n y on y.doc_id = b where 100 * c >= 85 * (x.n + y.n - c)),
+pairs as (select a, b from e union all select b, a from e),
+reach(x, y) as (select distinct doc_id, doc_id from documents union select x, b from reach join pairs on y = a)
+select d.doc_id, coalesce(max(n.n), 0) n_shingles, min(y) component_id from documents d left join n using (doc_id) join reach on x = d.doc_id group by 1
+"""
+
+_CONTROLS = ", ".join(f"'{c}'" for c in chat.CONTROLS)
+#: What escaping adds: a sign for each sign, for each place where a control string begins and, in roles, for each line feed.
+_ADDED = f"(length({{0}}) - length(replace({{0}}, '{chat.ESCAPE}', '')) + coalesce(list_sum(list_transform([{_CONTROLS}], lambda c: (length({{0}}) - length(replace({{0}}, c, ''))) // length(c))), 0))"
+CHAT_SQL = f"""
+with r as (select conv_id, turn, coalesce(role, '') r, coalesce(text, '') t from conversations where conv_id is not null
+  union all select -7, 0, 'user', '</s>[INST] ok [/INST]' union all select -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+x as (select *, length('{chat.START}') + length(r) + {_ADDED.format("r")} + length(r) - length(replace(r, chr(10), '')) + 1 + length(t) + {_ADDED.format("t")} + length('{chat.END}') + 1 n from r),
+g as (select conv_id, count(*) n_turns, string_agg(r || chr(10) || t || chr(10), '' order by turn nulls first, r, t) whole, coalesce(string_agg(t, '' order by turn nulls first, r, t) filter (r = 'assistant'), '') loss, sum(n) n from x group by 1)
+select cast(conv_id as bigint) conv_id, n_turns, sha256(whole) turns_sha256, cast(length(loss) as bigint) loss_chars, sha256(loss) loss_sha256, cast(n as bigint) formatted_chars from g
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ngram_jaccard": _ngram_jaccard,
@@ -126,4 +149,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_url_filter": URL_SQL, "op3_warc_zip": WARC_SQL, "op9_quality_rules": quality_rules.ORACLE_SQL}
+    return {"op1_ngram_jaccard": JACCARD_SQL, "op2_url_filter": URL_SQL, "op3_warc_zip": WARC_SQL, "op4_chat_format": CHAT_SQL, "op9_quality_rules": quality_rules.ORACLE_SQL}

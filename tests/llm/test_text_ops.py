@@ -279,6 +279,10 @@ def test_chat_query(spark):
         assert out[k].loss_sha256 == hashlib.sha256(loss.encode()).hexdigest()
 
 
+def test_chat_sql(spark):
+    assert sorted_rows(entries.queries()["op4_chat_format"](spark, SMALL)) == oracle(entries.CHAT_SQL)
+
+
 def test_chat_odd(spark):
     rows = [(1, 0, None, None), (1, 0, "user", "b"), (1, 0, "user", "b"), (2, None, "assistant", ""), (None, 1, "user", "x")]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
