@@ -382,3 +382,33 @@ def test_analyze_bounds(tmp_path):
     wide = analyze(book, "E", Options(header=False, range=Range(0, 0, 1, 2)))
     assert wide.columns == (("A", "varchar"), ("B", "varchar"))
     assert rows_of(path, sheet="E", header=False, range="A1:B3") == [(None, None)] * 3
+
+
+def test_remote_files(tmp_path, monkeypatch):
+    """Workbooks by http from a local server: whole, with a query string, missing, and empty."""
+    import functools
+    import http.server
+    import threading
+
+    monkeypatch.setenv("no_proxy", "*")
+    for fmt in FORMATS:
+        write_book(f"{tmp_path}/a.{fmt}", [("S", [["x", "y"], [1, "u"], [2, "v"]])])
+    (tmp_path / "none.xlsx").write_bytes(b"")
+
+    class Quiet(http.server.SimpleHTTPRequestHandler):
+        def log_message(self, *args):
+            pass
+
+    server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), functools.partial(Quiet, directory=str(tmp_path)))
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    try:
+        root = f"http://127.0.0.1:{server.server_port}"
+        for fmt in FORMATS:
+            assert read(f"{root}/a.{fmt}") == (["x", "y"], [(1, "u"), (2, "v")])
+        assert analyze_one(f"{root}/a.xlsx?version=2") == [("x", "bigint"), ("y", "varchar")]
+        with pytest.raises(SheetError, match="404"):
+            read(f"{root}/gone.xlsx")
+        with pytest.raises(SheetError, match="No data from remote file"):
+            read(f"{root}/none.xlsx")
+    finally:
+        server.shutdown()
