@@ -133,6 +133,35 @@ select cast(conv_id as bigint) conv_id, n_turns, sha256(whole) turns_sha256, cas
 """
 
 
+def _mixing_sql() -> str:
+    """The mix as SQL: water-filling by windows over siblings, level by level, then each leaf's prefix by a running sum."""
+    parts = [
+        r"t as (select doc_id, lang, source, case when regexp_extract(coalesce(source, ''), '([0-9]+)$', 1) = '' then 'other' when right(source, 1) in ('0', '2', '4', '6', '8') then 'even' else 'odd' end as domain, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) n from documents)",
+        "leaf as (select domain, lang, source, sum(n) tokens, cast(sum(n) * 4 as hugeint) c from t group by all)",
+        "l0 as (select *, sum(tokens) over () * 1400 // 1000 b from leaf)",
+    ]
+    for k, level in enumerate(mixing.LEVELS):
+        above, here = ", ".join(mixing.LEVELS[:k]), ", ".join(mixing.LEVELS[: k + 1])
+        by = f"partition by {above}" if above else ""
+        weight = " ".join(f"when '{name}' then {w}" for name, w in WEIGHTS.get(level, {}).items())
+        weight = f"case {level} {weight} else 1 end" if weight else "1"
+        order = f"{by} order by c // w, c % w * 1000000000000000000 // w, {level} nulls first"
+        parts += [
+            f"n{k} as (select {here}, sum(c) c, max(b) b, cast({weight} as hugeint) w from l{k} group by {here})",
+            f"o{k} as (select *, row_number() over ({order}) i, b - coalesce(sum(c) over ({order} rows between unbounded preceding and 1 preceding), 0) left_, sum(w) over ({by}) - coalesce(sum(w) over ({order} rows between unbounded preceding and 1 preceding), 0) w_ from n{k})",
+            f"f{k} as (select *, min(case when c * w_ > left_ * w then i end) over ({by}) stop from o{k})",
+            f"g{k} as (select *, max(case when i = stop then left_ end) over ({by}) sl, max(case when i = stop then w_ end) over ({by}) sw from f{k})",
+            f"s{k} as (select {here}, case when c * w_ <= left_ * w then c else least(c, greatest(sl, 0) * w // sw) end nb from g{k})",
+            f"l{k + 1} as (select l{k}.* exclude (b), nb b from l{k} join s{k} on {' and '.join(f'l{k}.{x} is not distinct from s{k}.{x}' for x in mixing.LEVELS[: k + 1])})",
+        ]
+    parts += [
+        "plan as (select *, case when tokens > 0 then least(b // tokens, 4) else 0 end whole from l3)",
+        "taken as (select t.*, whole, b - whole * tokens rest, cast('0x' || substr(md5('17:' || whole || ':' || doc_id), 1, 15) as bigint) h from t join plan on t.domain = plan.domain and t.lang is not distinct from plan.lang and t.source is not distinct from plan.source)",
+        "placed as (select *, coalesce(sum(n) over (partition by domain, lang, source order by h, doc_id rows between unbounded preceding and 1 preceding), 0) before from taken)",
+    ]
+    return "with " + ",\n".join(parts) + "\nselect doc_id, domain, lang, source, cast(n as bigint) n_tokens, cast(whole + case when before < rest then 1 else 0 end as integer) copies from placed where whole + case when before < rest then 1 else 0 end > 0"
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ngram_jaccard": _ngram_jaccard,
@@ -149,4 +178,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_ngram_jaccard": JACCARD_SQL, "op2_url_filter": URL_SQL, "op3_warc_zip": WARC_SQL, "op4_chat_format": CHAT_SQL, "op9_quality_rules": quality_rules.ORACLE_SQL}
+    return {"op1_ngram_jaccard": JACCARD_SQL, "op2_url_filter": URL_SQL, "op3_warc_zip": WARC_SQL, "op4_chat_format": CHAT_SQL, "op6_mixing": _mixing_sql(), "op9_quality_rules": quality_rules.ORACLE_SQL}

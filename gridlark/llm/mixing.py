@@ -85,18 +85,18 @@ def mix(spark: SparkSession, docs: DataFrame, *, share_permille: int, weights: d
     plan = scratch.save(plan.withColumn("whole", F.when(F.col("tokens") > 0, F.least(F.expr("budget div tokens"), F.lit(max_epochs))).otherwise(F.lit(0)).cast("int")).withColumn("rest", F.col("budget") - F.col("whole") * F.col("tokens")), "plan")
     named = plan.select(*(F.col(x).alias(f"_{x}") for x in LEVELS), "whole", "rest", "budget")
     taken = rows.join(named, [F.col(x).eqNullSafe(F.col(f"_{x}")) for x in LEVELS]).drop(*(f"_{x}" for x in LEVELS))
-    # The order within the last epoch: the top bits of the hash are the bucket.
-    order = F.xxhash64(F.lit(seed), F.col("whole"), F.col("doc_id"))
-    taken = taken.withColumn("_h", order).withColumn("_bucket", F.shiftrightunsigned("_h", 52).cast("int"))
+    # The order within the last epoch: the top 12 of 60 bits of the hash are the bucket.
+    order = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(seed), F.col("whole"), F.col("doc_id")).cast("binary")), 1, 15), 16, 10).cast("long")
+    taken = taken.withColumn("_h", order).withColumn("_bucket", F.shiftright("_h", 48).cast("int"))
     sums = taken.groupBy(*LEVELS, "_bucket").agg(F.sum("n_tokens").alias("_sum"))
     leaf = [F.coalesce(F.col(x), F.lit("\0")) for x in LEVELS]
     starts = sums.withColumn("_start", F.coalesce(F.sum("_sum").over(Window.partitionBy(*leaf).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     starts = starts.select(*(F.col(x).alias(f"_{x}") for x in LEVELS), F.col("_bucket").alias("_b"), "_start", "_sum")
     spread = taken.join(starts, [*(F.col(x).eqNullSafe(F.col(f"_{x}")) for x in LEVELS), F.col("_bucket") == F.col("_b")]).drop(*(f"_{x}" for x in LEVELS), "_b")
-    whole = spread.where("_start + _sum <= rest").withColumn("_in", F.col("rest") > F.col("_start"))
-    none = spread.where("_start + _sum > rest and _start >= rest").withColumn("_in", F.lit(False))
+    whole = spread.where("_start + _sum < rest").withColumn("_in", F.lit(True))
+    none = spread.where("_start >= rest").withColumn("_in", F.lit(False))
     inside = Window.partitionBy(*leaf, "_bucket").orderBy("_h", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
-    edge = spread.where("_start + _sum > rest and _start < rest").withColumn("_in", F.col("_start") + F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)) < F.col("rest"))
+    edge = spread.where("_start + _sum >= rest and _start < rest").withColumn("_in", F.col("_start") + F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)) < F.col("rest"))
     out = whole.unionByName(edge).unionByName(none).withColumn("copies", F.col("whole") + F.col("_in").cast("int"))
     return out.where("copies > 0").select("doc_id", "domain", "lang", "source", "n_tokens", "copies")
 

@@ -83,8 +83,6 @@ def test_mixing(spark, permille, epochs):
 
 def test_mixing_prefix(spark):
     """The documents taken once more than the rest are the prefix, in the order of the seeded hash, that reaches the budget."""
-    from pyspark.sql import functions as F
-
     docs = rows_of(f"{SMALL}/documents.parquet")
     tokens, budget = brute_mix(docs, 1400, entries.WEIGHTS, 4)
     out = mixing.mix(spark, spark.read.parquet(f"{SMALL}/documents.parquet"), share_permille=1400, weights=entries.WEIGHTS, seed=17, max_epochs=4)
@@ -95,14 +93,20 @@ def test_mixing_prefix(spark):
         leaves.setdefault(("other" if not n else "even" if int(n[1]) % 2 == 0 else "odd", d["lang"], d["source"]), []).append((d["doc_id"], len(WORD.findall(d["text"] or ""))))
     pairs = {(leaf, min(budget[leaf] // tokens[leaf], 4)) for leaf in leaves if tokens[leaf]}
     ask = [(d, w) for leaf, w in pairs for d, _ in leaves[leaf]]
-    order = {r[0]: r[1] for r in spark.createDataFrame(ask, "d long, w int").select("d", F.xxhash64(F.lit(17), "w", "d")).collect()}
+    order = {d: int(hashlib.md5(f"17:{w}:{d}".encode()).hexdigest()[:15], 16) for d, w in ask}
     for leaf, whole in pairs:
         rest = budget[leaf] - whole * tokens[leaf]
-        for d, n in sorted(leaves[leaf], key=lambda x: (order[x[0]] % 2**64 >> 52, order[x[0]], x[0])):
+        for d, n in sorted(leaves[leaf], key=lambda x: (order[x[0]], x[0])):
             assert copies.get(d, 0) == whole + (rest > 0)
             rest -= n
 
 
+def test_mixing_sql(spark):
+    from conftest_llm import oracle, sorted_rows
+
+    assert sorted_rows(entries.queries()["op6_mixing"](spark, SMALL)) == oracle(entries.oracle_sql()["op6_mixing"])
+
+
 def test_allocation_of_large_budgets(spark):
     """Capacities beyond 2**53 whose ratios to weights differ by one in the last place are shared exactly."""
     big = 2**60
