@@ -79,24 +79,30 @@ def parse_record(data: bytes) -> tuple[dict[str, str], bytes]:
 # ---- zip packages ----------------------------------------------------------------------------------------------------
 
 
-def zip_package(members: list[tuple[str, bytes]], *, zip64: bool = False) -> bytes:
-    """A ZIP of stored members. ``zip64`` forces the 64-bit fields, which large packages need anyway."""
-    out, central = bytearray(), bytearray()
+def zip_pieces(members: list[tuple[str, bytes | bytearray]], *, zip64: bool = False) -> Iterator[bytes | bytearray]:
+    """A ZIP of stored members, in pieces that don't copy them. ``zip64`` forces the 64-bit fields, which large packages need anyway."""
+    central, at = bytearray(), 0
     for name, data in members:
-        raw, crc, at, n = name.encode(), zlib.crc32(data), len(out), len(data)
+        raw, crc, n = name.encode(), zlib.crc32(data), len(data)
         big = zip64 or n >= 0xFFFFFFFF or at >= 0xFFFFFFFF
         size = 0xFFFFFFFF if big else n
         extra = struct.pack("<HHQQ", 1, 16, n, n) if big else b""
-        out += struct.pack("<4sHHHHHIIIHH", b"PK\3\4", 45 if big else 20, 0x800, 0, 0, 0x21, crc, size, size, len(raw), len(extra)) + raw + extra + data
+        head = struct.pack("<4sHHHHHIIIHH", b"PK\3\4", 45 if big else 20, 0x800, 0, 0, 0x21, crc, size, size, len(raw), len(extra)) + raw + extra
+        yield head
+        yield data
         extra = struct.pack("<HHQQQ", 1, 24, n, n, at) if big else b""
         central += struct.pack("<4sHHHHHHIIIHHHHHII", b"PK\1\2", 45, 45 if big else 20, 0x800, 0, 0, 0x21, crc, size, size, len(raw), len(extra), 0, 0, 0, 0, 0xFFFFFFFF if big else at) + raw + extra
-    at, n, k = len(out), len(central), len(members)
-    out += central
+        at += len(head) + n
+    n, k = len(central), len(members)
     big = zip64 or at >= 0xFFFFFFFF or k >= 0xFFFF
     if big:
-        out += struct.pack("<4sQHHIIQQQQ", b"PK\6\6", 44, 45, 45, 0, 0, k, k, n, at) + struct.pack("<4sIQI", b"PK\6\7", 0, at + n, 1)
-    out += struct.pack("<4sHHHHIIH", b"PK\5\6", 0, 0, 0xFFFF if big else k, 0xFFFF if big else k, 0xFFFFFFFF if big else n, 0xFFFFFFFF if big else at, 0)
-    return bytes(out)
+        central += struct.pack("<4sQHHIIQQQQ", b"PK\6\6", 44, 45, 45, 0, 0, k, k, n, at) + struct.pack("<4sIQI", b"PK\6\7", 0, at + n, 1)
+    central += struct.pack("<4sHHHHIIH", b"PK\5\6", 0, 0, 0xFFFF if big else k, 0xFFFF if big else k, 0xFFFFFFFF if big else n, 0xFFFFFFFF if big else at, 0)
+    yield central
+
+
+def zip_package(members: list[tuple[str, bytes]], *, zip64: bool = False) -> bytes:
+    return b"".join(zip_pieces(members, zip64=zip64))
 
 
 def central_directory(read, size: int) -> dict[str, tuple[int, int]]:
@@ -152,12 +158,14 @@ def _write(folder: str):
 
         def close() -> pa.RecordBatch:
             name = f"{uuid.uuid4().hex}.wacz"
-            data = zip_package([(DATA, bytes(body)), (INDEX, "".join(index).encode())])
+            size = 0
             with store.open_output_stream(f"{base}/{name}") as f:
-                f.write(data)
+                for piece in zip_pieces([(DATA, body), (INDEX, "".join(index).encode())]):
+                    f.write(piece)
+                    size += len(piece)
             body.clear()
             index.clear()
-            return pa.record_batch([pa.array([f"{folder}/{name}"]), pa.array([len(data)], pa.int64())], names=["path", "size"])
+            return pa.record_batch([pa.array([f"{folder}/{name}"]), pa.array([size], pa.int64())], names=["path", "size"])
 
         for batch in batches:
             columns = [batch.column(k).to_pylist() for k in ("key", "url", "digest", "refers_to")]

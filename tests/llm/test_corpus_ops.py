@@ -483,3 +483,32 @@ def test_pipeline(spark):
     assert {r.doc_id: r.n_tokens for r in got["bpe"]} == {k: len(ids) for k, (ids, _) in want.items()}
     assert sorted(corpus_pipeline.run(spark, SMALL).collect()) == sorted(got["bpe"])
     assert rows(f"{SMALL}/documents.parquet")
+
+
+def test_pipeline_odd(spark, odd, empty, tmp_path):
+    """Odd rows, rows without an id, repeated rows and columns named as the stages' own; and an empty table."""
+    import random
+
+    import corpus_pipeline
+
+    rng = random.Random(2)
+    words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 9))) for _ in range(400)]
+    prose = [" ".join(rng.choice(words) for _ in range(rng.randint(60, 200))) for _ in range(40)]
+    rows = [(k if k % 5 else None, t, "en", "s4", len(t), k) for k, t in enumerate(prose, 100)]
+    rows += [rows[1], (900, prose[1], "en", "s4", 0, 900), (901, prose[2] + " more", None, None, None, 901)]
+    whole = odd.unionByName(spark.createDataFrame(rows, odd.schema)).selectExpr("*", "a as tokens", "a as component_id", "a as _kept", "a as kept", "a as n_words")
+    for k, df in enumerate((whole, empty)):
+        df.repartition(3).write.parquet(f"{tmp_path}/{k}/documents.parquet")
+        out = corpus_pipeline.run(spark, f"{tmp_path}/{k}").collect()
+        assert bool(out) == (k == 0)
+        if k == 0:
+            ids = [r.doc_id for r in out]
+            assert ids.count(None) > 0 and len([x for x in ids if x is not None and x >= 900]) <= 2 and not {1, 2, 3, 4, 5, 6} & {*ids}
+    docs = spark.read.parquet(f"{tmp_path}/0/documents.parquet")
+    kept = corpus_pipeline.STAGES[0][1](spark, docs, "")
+    assert kept.columns == docs.columns
+    unique = corpus_pipeline.STAGES[1][1](spark, kept, "")
+    assert unique.columns == docs.columns
+    want = {r.doc_id for r in kept.collect()}
+    got = sorted((r.doc_id for r in unique.collect()), key=str)
+    assert {*got} == want - {900, 901} and got.count(101) == 2 and got.count(None) == sum(r[0] is None for r in rows)
