@@ -60,11 +60,12 @@ def validity_intervals(entries: DataFrame) -> DataFrame:
 def filter_urls(captures: DataFrame, entries: DataFrame, *, key: str = "page_id", url: str = "url", fetched_at: str = "fetched_at") -> DataFrame:
     """A row for each capture: key, url, fetch time, ``n_matches`` (active entries), ``matched`` (the smallest ``list:pattern``), ``blocked``."""
     intervals = validity_intervals(entries)
+    depths = list_depths(intervals)
     patterns = capture_patterns(F.col("_u"), F.col("_labels"), F.col("_segments"))
     rows = captures.select(F.col(key).alias("_k"), F.col(url).alias("_u"), F.col(fetched_at).alias("_at"))
     bare = F.col("_u").isNull() | F.col("_at").isNull()
     # Captures of the same url and time share their matches.
-    pair = rows.where(~bare).select("_u", "_at").distinct().crossJoin(list_depths(intervals)).select("_u", "_at", F.explode(patterns).alias("pattern"))
+    pair = rows.where(~bare).select("_u", "_at").distinct().select("_u", "_at", depths.select("_labels").scalar().alias("_labels"), depths.select("_segments").scalar().alias("_segments")).select("_u", "_at", F.explode(patterns).alias("pattern"))
     # Which patterns occur at all: distinct before the join, so a hot host is one row of a map task.
     asked = pair.select("pattern", "_at").distinct()
     active = asked.join(intervals, "pattern").where((F.col("valid_from") <= F.col("_at")) & (F.col("valid_to").isNull() | (F.col("valid_to") > F.col("_at"))))
