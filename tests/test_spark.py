@@ -104,3 +104,25 @@ def test_stream(spark, books, tmp_path):
     finally:
         q.stop()
     assert plain(spark.sql("select k, v, right(f, 7) from dropped").collect()) == plain([(9, "--", "one.xls"), (5, "w", "two.xls")])
+
+
+def test_stream_by_name(spark, tmp_path):
+    """Columns in another order, a column less, and a file that is no workbook, left out or an error."""
+    drop = tmp_path / "drop"
+    drop.mkdir()
+    sample = write_book(f"{tmp_path}/sample.xlsx", [("One", [["k", "v"], [0, "s"]])])
+    write_book(f"{drop}/a.xlsx", [("One", [["v", "k"], ["x", 1]]), ("Two", [["k"], [2]])])
+    write_book(f"{drop}/b.ods", [("One", [["extra", "k", "v"], [9, 3, "y"]])])
+    (drop / "c.xlsx").write_bytes(b"no workbook")
+    for skip in (True, False):
+        df = stream_sheets(spark, str(drop), sample, union_by_name=True, skip_unreadable=skip, sheet_name_column="s")
+        q = df.writeStream.format("memory").queryName(f"named_{skip}").option("checkpointLocation", f"{tmp_path}/ck{skip}").start()
+        try:
+            if skip:
+                q.processAllAvailable()
+                assert plain(spark.sql("select k, v, s from named_True").collect()) == plain([(1, "x", "One"), (2, None, "Two"), (3, "y", "One")])
+            else:
+                with pytest.raises(Exception, match="missing or corrupted"):
+                    q.processAllAvailable()
+        finally:
+            q.stop()
