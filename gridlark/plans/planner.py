@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import types as T
@@ -132,12 +133,26 @@ def analyzed(path: str, options: Options, none_means_all: bool, tasks: bool = Fa
         book.close()
 
 
-def plan_multi(paths: list[str], options: Options, *, tasks: bool = True) -> Plan:
+#: What the analysis of a workbook found: its path, and its sheets with the byte ranges to read.
+Found = tuple[str, list[tuple[Table, list[tuple[int, int | None]]]]]
+
+
+def found_text(found: list[Found]) -> str:
+    return json.dumps([[path, [[t.sheet, t.columns, t.first_row, t.col_lo, t.col_hi, cuts] for t, cuts in tables]] for path, tables in found])
+
+
+def found_of(text: str) -> list[Found]:
+    table = lambda sheet, columns, *rest: Table(sheet, tuple((n, k) for n, k in columns), *rest)
+    return [(path, [(table(*x[:5]), [(lo, hi) for lo, hi in x[5]]) for x in tables]) for path, tables in json.loads(text)]
+
+
+def plan_multi(paths: list[str], options: Options, *, tasks: bool = True, found: list[Found] | None = None) -> Plan:
+    """The plan of several workbooks. ``found``: their analysis, if it was made already (by tasks of a cluster, say)."""
     columns: dict[str, str] = {}
     scans: list[tuple[str, Table, dict[str, int], list[tuple[int, int | None]]]] = []
     first: tuple[Table, dict[str, int]] | None = None
-    for path in globs.expand(paths):
-        for table, cuts in analyzed(path, options, True, tasks):
+    for path, tables in found if found is not None else ((x, analyzed(x, options, True, tasks)) for x in globs.expand(paths)):
+        for table, cuts in tables:
             places: dict[str, int] = {}
             if options.union_by_name or first is None:
                 for k, (name, kind) in enumerate(table.columns):

@@ -12,7 +12,7 @@ from pyspark.sql.types import StructType
 
 from gridlark.model import SheetError
 from gridlark.operators.scan import scan_checked
-from gridlark.plans.planner import Plan, Task, parse_options, plan_multi, plan_single
+from gridlark.plans.planner import Plan, Task, found_of, parse_options, plan_multi, plan_single
 
 _FLAGS = ("header", "union_by_name", "error_as_null", "skip_empty_rows", "end_at_empty_row")
 _NUMBERS = ("analyze_rows", "split_bytes")
@@ -44,9 +44,10 @@ def parse_text_options(options: dict[str, str]) -> tuple[list[str], bool, dict]:
 
 
 def make_plan(options: dict[str, str], *, tasks: bool = True) -> tuple[Plan, bool]:
-    paths, multi, typed = parse_text_options(options)
+    analysis = options.get("analysis")
+    paths, multi, typed = parse_text_options({k: v for k, v in options.items() if k.lower() != "analysis"})
     parsed = parse_options(**typed)
-    return (plan_multi(paths, parsed, tasks=tasks) if multi else plan_single(paths[0], parsed, tasks=tasks)), multi
+    return (plan_multi(paths, parsed, tasks=tasks, found=found_of(analysis) if analysis else None) if multi else plan_single(paths[0], parsed, tasks=tasks)), multi
 
 
 class SheetPartition(InputPartition):

@@ -126,3 +126,23 @@ def test_stream_by_name(spark, tmp_path):
                     q.processAllAvailable()
         finally:
             q.stop()
+
+
+def test_many_files_are_analysed_by_tasks(spark, tmp_path, monkeypatch):
+    """The plan of tasks is that of the driver, in the order of files, and an unreadable file is named by planning."""
+    from gridlark import api
+    from gridlark.plans.planner import found_of, parse_options, plan_multi
+
+    for k in range(6):
+        write_book(f"{tmp_path}/{k}.{'xlsx' if k % 2 else 'ods'}", [("One", [["k", "v"], [k, "x"]]), ("Two", [["v", "k", "w"], ["y", k + 10, 1.5]])])
+    files = [f"{tmp_path}/*"]
+    for options in ({"union_by_name": True}, {"sheets": ["One"]}):
+        df = read_sheets(spark, files, **options)
+        monkeypatch.setattr(api, "JOB_FILES", 100)
+        assert df.schema == read_sheets(spark, files, **options).schema and df.collect() == read_sheets(spark, files, **options).collect()
+        monkeypatch.undo()
+        parsed, every = parse_options(**options), sorted(str(p) for p in tmp_path.iterdir())
+        assert plan_multi(files, parsed, found=found_of(api._analysis(spark, every, parsed))) == plan_multi(files, parsed)
+    (tmp_path / "9.xlsx").write_bytes(b"no workbook")
+    with pytest.raises(Exception, match="9.xlsx.* is missing or corrupted"):
+        read_sheets(spark, files, union_by_name=True).collect()
