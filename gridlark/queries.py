@@ -5,8 +5,11 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from itertools import chain, islice
 
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -17,6 +20,9 @@ from gridlark.sources.writers import Raw, write_book, write_ods_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 XLS_ROWS = 65_536
+SHEET_ROWS = 1_048_576
+#: Rows of a table that a task writes to a workbook.
+BOOK_ROWS = {"xlsx": 200_000, "xlsb": 200_000, "xls": 60_000, "ods": 100_000}
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
@@ -41,7 +47,7 @@ def folder(spark: SparkSession) -> str:
 
 
 def grid(spark: SparkSession, sf_dir: str, table: str, columns: list[str], order: str, convert=None) -> list[list]:
-    """Header and rows of a table as a worksheet's."""
+    """Header and rows of a small table as a worksheet's; they are gathered on the driver, see ``books`` for others."""
     rows = spark.read.parquet(f"{sf_dir}/{table}.parquet").select(*columns).orderBy(order).toArrow().to_pylist()
     return [columns, *([(convert or (lambda _, v: v))(c, r[c]) for c in columns] for r in rows)]
 
@@ -50,6 +56,50 @@ def as_dates(name: str, value):
     return value.date() if name.endswith("date") and value is not None else value
 
 
+def _written(where: str, fmt: str, sheet: str, header: list[str], convert: Callable[[tuple], list], options: dict):
+    """A task's workbooks, one but where it has more rows than a sheet holds; XLS has several sheets then."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task = TaskContext.get()
+        rows = (convert(r) for batch in batches for r in zip(*(c.to_pylist() for c in batch.columns), strict=True))
+        k = 0
+        while (first := next(rows, None)) is not None:
+            sheets = [(sheet, chain([header, first], islice(rows, SHEET_ROWS - 2)))]
+            if fmt == "xls":
+                every = [first, *rows]
+                step = -(-len(every) // -(-len(every) // (XLS_ROWS - 1)))
+                sheets = [(f"{sheet} {at // step}" if step < len(every) else sheet, [header, *every[at : at + step]]) for at in range(0, len(every), step)]
+            # By another name until it's whole, as a task may run twice.
+            name = f"part{task.partitionId():06d}-{k:03d}.{fmt}"
+            path = write_book(f"{where}/_{task.taskAttemptId()}-{name}", sheets, **options)
+            os.replace(path, f"{where}/{name}")
+            yield pa.record_batch([pa.array([f"{where}/{name}"])], names=["path"])
+            k += 1
+
+    return run
+
+
+def books(spark: SparkSession, sf_dir: str, table: str, columns: list[str], order: str, fmt: str, sheet: str, header: list[str], convert: Callable[[tuple], list], **options) -> list[str]:
+    """Workbooks of a table of any size, in its order, each written by a task; the driver gets their paths."""
+    where = folder(spark)
+    rows = spark.read.parquet(f"{sf_dir}/{table}.parquet").select(*columns)
+    dealt = rows.repartitionByRange(max(1, -(-rows.count() // BOOK_ROWS[fmt])), order).sortWithinPartitions(order)
+    found = sorted(r.path for r in dealt.mapInArrow(_written(where, fmt, sheet, header, convert, options), "path string").collect())
+    return found or [write_book(f"{where}/part.{fmt}", [(sheet, [header])], **options)]
+
+
+def read_books(spark: SparkSession, paths: list[str], **options) -> DataFrame:
+    """A workbook by its first sheet, several by all of theirs. (A single XLS workbook may have several sheets.)"""
+    if len(paths) == 1 and not paths[0].endswith(".xls"):
+        return api.read_sheet(spark, paths[0], **options)
+    return api.read_sheets(spark, paths, union_by_name=True, **options)
+
+
+def priced(spark: SparkSession, d: str, fmt: str) -> list[str]:
+    columns = ["o_orderkey", "o_totalprice", "o_orderdate", "o_orderpriority"]
+    return books(spark, d, "orders", columns, "o_orderkey", fmt, "orders", columns, lambda r: [r[0], r[1], r[2] and r[2].date(), r[3]])
+
+
 def _nation(fmt: str):
     def run(spark: SparkSession, d: str) -> DataFrame:
         path = write_book(f"{folder(spark)}/nation.{fmt}", [("nation", grid(spark, d, "nation", ["n_nationkey", "n_name", "n_regionkey"], "n_nationkey"))])
@@ -65,13 +115,7 @@ for _fmt in ("xlsx", "xlsb", "xls", "ods"):
 
 def _typed(fmt: str):
     def run(spark: SparkSession, d: str) -> DataFrame:
-        columns = ["o_orderkey", "o_totalprice", "o_orderdate", "o_orderpriority"]
-        rows = grid(spark, d, "orders", columns, "o_orderkey", as_dates)
-        if fmt == "xls" and len(rows) > XLS_ROWS:
-            sheets = [(f"orders {k}", [rows[0], *rows[1 + k : k + XLS_ROWS]]) for k in range(0, len(rows) - 1, XLS_ROWS - 1)]
-            return api.read_sheets(spark, write_book(f"{folder(spark)}/orders.xls", sheets), analyze_rows=200, union_by_name=True)
-        path = write_book(f"{folder(spark)}/orders.{fmt}", [("orders", rows)])
-        return api.read_sheet(spark, path, analyze_rows=200)
+        return read_books(spark, priced(spark, d, fmt), analyze_rows=200)
 
     return run
 

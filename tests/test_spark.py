@@ -146,3 +146,30 @@ def test_many_files_are_analysed_by_tasks(spark, tmp_path, monkeypatch):
     (tmp_path / "9.xlsx").write_bytes(b"no workbook")
     with pytest.raises(Exception, match="9.xlsx.* is missing or corrupted"):
         read_sheets(spark, files, union_by_name=True).collect()
+
+
+@pytest.mark.parametrize("name", ["read_xlsx_orders", "read_xlsb_orders", "read_xls_orders", "read_ods_orders"])
+def test_large_tables_are_written_by_tasks(spark, con, monkeypatch, name):
+    """Orders become several workbooks, none of whose rows the driver gathers."""
+
+    def gathered(*_):
+        raise AssertionError("the driver gathers a table")
+
+    monkeypatch.setattr(queries, "grid", gathered)
+    monkeypatch.setattr(queries, "BOOK_ROWS", dict.fromkeys(queries.BOOK_ROWS, 400), raising=False)
+    df = entry.queries()[name](spark, SF)
+    cur = con.execute(entry.oracle_sql()[name])
+    assert plain(df.select(*[d[0] for d in cur.description]).collect()) == plain(cur.fetchall())
+
+
+def test_xls_sheets_are_even(spark, tmp_path, monkeypatch):
+    """More rows than an XLS sheet holds are dealt evenly to sheets, and an empty table gives a header."""
+    monkeypatch.setattr(queries, "BOOK_ROWS", {"xls": 200_000, "xlsx": 200_000})
+    spark.range(70_000).write.parquet(f"{tmp_path}/t.parquet")
+    paths = queries.books(spark, str(tmp_path), "t", ["id"], "id", "xls", "s", ["k"], lambda r: [r[0]])
+    df = queries.read_books(spark, paths, sheet_name_column="sheet")
+    assert len(paths) == 1 and [tuple(r) for r in df.groupBy("sheet").count().orderBy("sheet").collect()] == [("s 0", 35_000), ("s 1", 35_000)]
+    assert df.agg({"k": "sum"}).first()[0] == 70_000 * 69_999 // 2
+    spark.range(0).write.parquet(f"{tmp_path}/none.parquet")
+    paths = queries.books(spark, str(tmp_path), "none", ["id"], "id", "xlsx", "s", ["k"], lambda r: [r[0]])
+    assert queries.read_books(spark, paths).columns == ["k"] and queries.read_books(spark, paths).count() == 0
