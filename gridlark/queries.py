@@ -199,10 +199,9 @@ def infer_types_mixed(spark: SparkSession, d: str) -> DataFrame:
 
 def _dates(date1904: bool):
     def run(spark: SparkSession, d: str) -> DataFrame:
-        rows = grid(spark, d, "orders", ["o_orderkey", "o_orderdate"], "o_orderkey")
-        rows = [["o_orderkey", "day", "moment", "clock"], *([k, v.date(), v.replace(hour=k % 24, minute=30), v.replace(hour=k % 24, minute=15).time()] for k, v in rows[1:])]
-        path = write_book(f"{folder(spark)}/dates.xlsx", [("s", rows)], date1904=date1904)
-        df = api.read_sheet(spark, path)
+        convert = lambda r: [r[0], r[1].date(), r[1].replace(hour=r[0] % 24, minute=30), r[1].replace(hour=r[0] % 24, minute=15).time()]
+        paths = books(spark, d, "orders", ["o_orderkey", "o_orderdate"], "o_orderkey", "xlsx", "s", ["o_orderkey", "day", "moment", "clock"], convert, date1904=date1904)
+        df = read_books(spark, paths)
         return df.select("o_orderkey", "day", "moment", F.expr("cast(clock as string)").alias("clock"))
 
     return run
