@@ -317,9 +317,9 @@ def boolean_columns(spark: SparkSession, d: str) -> DataFrame:
 @query("select o_orderkey, strftime(o_orderdate, '%Y-%m-%d') as day, strftime(o_orderdate, '%Y-%m-%d') || ' ' || lpad(cast(o_orderkey % 24 as varchar), 2, '0') || ':30:00' as moment, case when o_orderkey % 2 = 0 then 'true' else 'false' end flag from orders")
 def display_forms(spark: SparkSession, d: str) -> DataFrame:
     """Dates, times and booleans in columns of texts."""
-    rows = grid(spark, d, "orders", ["o_orderkey", "o_orderdate"], "o_orderkey")
-    rows = [["o_orderkey", "day", "moment", "flag"], *([k, v.date(), v.replace(hour=k % 24, minute=30), k % 2 == 0] for k, v in rows[1:])]
-    return api.read_sheet(spark, write_book(f"{folder(spark)}/shown.xlsx", [("s", rows)]), columns={"o_*": "bigint", "*": "varchar"})
+    convert = lambda r: [r[0], r[1].date(), r[1].replace(hour=r[0] % 24, minute=30), r[0] % 2 == 0]
+    paths = books(spark, d, "orders", ["o_orderkey", "o_orderdate"], "o_orderkey", "xlsx", "s", ["o_orderkey", "day", "moment", "flag"], convert)
+    return read_books(spark, paths, columns={"o_*": "bigint", "*": "varchar"})
 
 
 @query("select s_suppkey, case when s_suppkey % 3 <> 0 then s_acctbal end s_acctbal, case when s_suppkey % 5 <> 0 then s_name end s_name from supplier")

@@ -148,7 +148,7 @@ def test_many_files_are_analysed_by_tasks(spark, tmp_path, monkeypatch):
         read_sheets(spark, files, union_by_name=True).collect()
 
 
-@pytest.mark.parametrize("name", ["read_xlsx_orders", "read_xlsb_orders", "read_xls_orders", "read_ods_orders", "dates_1900", "dates_1904", "sheet_sql_function"])
+@pytest.mark.parametrize("name", ["read_xlsx_orders", "read_xlsb_orders", "read_xls_orders", "read_ods_orders", "dates_1900", "dates_1904", "display_forms", "sheet_sql_function"])
 def test_large_tables_are_written_by_tasks(spark, con, monkeypatch, name):
     """Orders become several workbooks, none of whose rows the driver gathers."""
 
